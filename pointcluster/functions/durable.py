@@ -1,8 +1,13 @@
-"""Reliable storage for iterative jobs: checkpoints and scratch tables.
+"""Reliable storage for iterative jobs.
 
-Both live under the shared folder named by ``spark.checkpoint.dir``. Only a
-local master without that setting (a test on one machine) gets a folder of its
-own; a cluster without it is an error, because executors do not share a disk.
+Frames that later rounds build on are written as tables below the shared folder
+named by ``spark.checkpoint.dir``: the lineage is cut, an executor may be lost
+at any time, and the next plan starts from real file sizes. (A checkpoint keeps
+the estimates and constraints of the plan behind it, which grow with every
+round of joins until planning takes longer than the job.)
+
+Only a local master without that setting (a test on one machine) gets a folder
+of its own; a cluster without it is an error, as executors share no disk.
 """
 
 from __future__ import annotations
@@ -27,15 +32,33 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and cut its lineage."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a table under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = path or scratch_path(df.sparkSession, "frame")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """The intermediate tables of one run; ``close`` deletes them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = scratch_path(spark, "work")
+        self.n = 0
+
+    def store(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        return stored(df, f"{self.root}/{self.n}")
+
+    def close(self) -> None:
+        if self.n:
+            jvm, jsc = self.spark._jvm, self.spark._jsc
+            path = jvm.org.apache.hadoop.fs.Path(self.root)
+            path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
+            self.n = 0

@@ -15,8 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.durable import checkpointed
-from .joins import balanced_join
+from ..functions.durable import Workspace, stored
+from .joins import BROADCAST_ROWS, balanced_join
+
+
+# How often a round follows its pointers; each time halves the depth left.
+JUMPS = 1
 
 
 @dataclass
@@ -25,79 +29,88 @@ class Components:
     rounds: int
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 200) -> Components:
+def connected_components(
+    edges: DataFrame, work: Workspace | None = None, max_rounds: int = 200
+) -> Components:
     """``(src, dst)`` -> ``labels (id, comp)``: each node's least connected id.
 
     Direction does not matter. Nodes are those that occur in an edge; a self
     loop makes an isolated node known.
     """
-    ends = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id")))
-    base = checkpointed(ends.distinct())
-    links = _both_ways(edges)
-    steps: list[tuple[DataFrame, int]] = []
-    n_links = links.count()
-    while n_links:
-        if len(steps) >= max_rounds:
-            raise RuntimeError(f"no end after {max_rounds} rounds")
-        parents = _parents(links, len(steps))
-        n_parents = parents.count()
-        steps.append((parents, n_parents))
-        links = _contract(links, parents, n_parents)
-        n_links = links.count()
-    if not steps:
-        return Components(base.select("id", F.col("id").alias("comp")), 0)
-    return Components(_unwind(base, steps), len(steps))
-
-
-def _both_ways(edges: DataFrame) -> DataFrame:
-    plain = edges.where("src <> dst").select("src", "dst")
-    return checkpointed(plain.union(plain.select("dst", "src")).distinct())
-
-
-def _parents(links: DataFrame, round_no: int) -> DataFrame:
-    """``(id, parent)`` for every node with a link, pointers followed twice."""
+    own = work is None
+    work = Workspace(edges.sparkSession) if own else work
+    try:
+        if own:
+            edges = work.store(edges.select("src", "dst"))
+        links = _both_ways(edges, work)
+        steps: list[tuple[DataFrame, int]] = []
+        while n_links := links.count():
+            if len(steps) >= max_rounds:
+                raise RuntimeError(f"no end after {max_rounds} rounds")
+            # every node has a link, so there are at most n_links of them
+            parents = _parents(links, n_links, len(steps), work)
+            steps.append((parents, n_links))
+            links = _contract(links, parents, n_links, work)
+        alone = edges.where("src = dst").selectExpr("src AS id").distinct()
+        if steps:
+            labels = _unwind(steps, work)
+            alone = alone.join(labels.select("id"), "id", "left_anti")
+            labels = labels.unionByName(alone.selectExpr("id", "id AS comp"))
+        else:
+            labels = alone.selectExpr("id", "id AS comp")
+        return Components(stored(labels) if own else labels, len(steps))
+    finally:
+        if own:
+            work.close()
+
+
+def _both_ways(edges: DataFrame, work: Workspace) -> DataFrame:
+    plain = edges.where("src <> dst")
+    return work.store(plain.union(plain.select("dst", "src")).distinct())
+
+
+def _parents(links: DataFrame, n_links: int, round_no: int, work: Workspace) -> DataFrame:
+    """``(id, parent)`` for every node with a link, pointers followed on."""
     best = links.groupBy(F.col("src").alias("id")).agg(
         F.expr(f"min(xxhash64(dst, {round_no}))").alias("h"),
         F.expr(f"min_by(dst, xxhash64(dst, {round_no}))").alias("best"),
     )
-    first = checkpointed(
-        best.selectExpr("id", f"IF(h < xxhash64(id, {round_no}), best, id) AS parent")
-    )
-    rows = first.count()
-    again = first.select(F.col("id").alias("parent"), F.col("parent").alias("grand"))
-    return checkpointed(
-        balanced_join(first, again, ["parent"], rows).select("id", F.col("grand").alias("parent"))
-    )
-
-
-def _contract(links: DataFrame, parents: DataFrame, n_parents: int) -> DataFrame:
+    pointers = best.selectExpr("id", f"IF(h < xxhash64(id, {round_no}), best, id) AS parent")
+    for _ in range(JUMPS):
+        onward = pointers.select(F.col("id").alias("parent"), F.col("parent").alias("next"))
+        pointers = balanced_join(pointers, onward, ["parent"], n_links).select(
+            "id", F.col("next").alias("parent")
+        )
+        if n_links > BROADCAST_ROWS:
+            pointers = work.store(pointers)
+    return pointers if n_links > BROADCAST_ROWS else work.store(pointers)
+
+
+def _contract(links: DataFrame, parents: DataFrame, n_parents: int, work: Workspace):
     as_src = parents.select(F.col("id").alias("src"), F.col("parent").alias("new_src"))
     as_dst = parents.select(F.col("id").alias("dst"), F.col("parent").alias("new_dst"))
-    moved = balanced_join(links, as_src, ["src"], n_parents).where("new_src IS NOT NULL")
+    moved = balanced_join(links, as_src, ["src"], n_parents)
     moved = balanced_join(moved, as_dst, ["dst"], n_parents)
-    return checkpointed(
+    return work.store(
         moved.where("new_src <> new_dst")
         .select(F.col("new_src").alias("src"), F.col("new_dst").alias("dst"))
         .distinct()
     )
 
 
-def _unwind(base: DataFrame, steps: list[tuple[DataFrame, int]]) -> DataFrame:
+def _unwind(steps: list[tuple[DataFrame, int]], work: Workspace) -> DataFrame:
     """Compose the pointers from the last round back to the first."""
-    roots, n_roots = None, 0
-    for parents, n_parents in reversed(steps):
-        if roots is None:
-            roots = parents.select("id", F.col("parent").alias("root"))
-        else:
-            onward = roots.select(F.col("id").alias("parent"), "root")
-            roots = balanced_join(parents, onward, ["parent"], n_roots, "left").select(
-                "id", F.coalesce("root", "parent").alias("root")
-            )
-            roots = checkpointed(roots)
+    parents, n_roots = steps[-1]
+    roots = parents.select("id", F.col("parent").alias("root"))
+    for parents, n_parents in reversed(steps[:-1]):
+        onward = roots.select(F.col("id").alias("parent"), "root")
+        roots = balanced_join(parents, onward, ["parent"], n_roots, "left").select(
+            "id", F.coalesce("root", "parent").alias("root")
+        )
+        # small levels are composed in one plan, large ones written down
+        if n_parents > BROADCAST_ROWS:
+            roots = work.store(roots)
         n_roots = n_parents
-    known = balanced_join(base, roots, ["id"], n_roots, "left").select(
-        "id", F.coalesce("root", "id").alias("root")
-    )
-    known = checkpointed(known)
-    least = checkpointed(known.groupBy("root").agg(F.min("id").alias("comp")))
-    return balanced_join(known, least, ["root"], least.count()).select("id", "comp")
+    roots = work.store(roots)
+    least = roots.groupBy("root").agg(F.min("id").alias("comp"))
+    return balanced_join(roots, least, ["root"], n_roots).select("id", "comp")

@@ -9,7 +9,7 @@ that cluster's center and a lower bound ``l`` per center. A round
    whose lower bound and half center distance both fall short of ``u``,
 3. moves the point to a strictly closer center.
 
-The state is materialised once per round and checkpointed every few rounds.
+The state is materialised once per round and written down every few rounds.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.durable import checkpointed
+from ..functions.durable import Workspace
 from ..functions.exprs import dimension, feature_names, unpack
 from ..operators.nearest import distance_matrix, half_gaps
 from ..operators.sample import limit_points
@@ -36,7 +36,7 @@ from .kmeans import (
     total_shift,
 )
 
-CHECKPOINT_ROUNDS = 5
+STORE_ROUNDS = 5
 MAX_COLUMNS = 64
 
 
@@ -228,8 +228,8 @@ def elkan_kmeans(
     points = limit_points(points, limit)
     centers = [list(map(float, c)) for c in init] if init else initial_centers(points, k, seed)
     layout = _layout(points, len(centers))
-    history, held = [], None
-    moves = None
+    history, held, moves = [], None, None
+    work = Workspace(points.sparkSession)
     try:
         for round_no in range(1, max_iterations + 1):
             started = time.perf_counter()
@@ -241,8 +241,8 @@ def elkan_kmeans(
             if held is not None:
                 held.unpersist()
             held = state
-            if round_no % CHECKPOINT_ROUNDS == 0 and round_no < max_iterations:
-                cut = checkpointed(state)
+            if round_no % STORE_ROUNDS == 0 and round_no < max_iterations:
+                cut = work.store(state)
                 state.unpersist()
                 held = cut
             new = moved(points, centers, means, empty, seed, round_no)
@@ -255,4 +255,5 @@ def elkan_kmeans(
     finally:
         if held is not None:
             held.unpersist()
+        work.close()
     return KMeansResult(points, centers, previous, history)

@@ -16,6 +16,10 @@ TRIP_SCHEMA = T.StructType(
 )
 
 
+# Fixed value: keeps microseconds, which the default drops.
+MICROS = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
+
 def read_trips(
     spark: SparkSession,
     path: str,
@@ -47,7 +51,9 @@ def read_trips(
 
 
 def write_trips(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").options(
+        timestampNTZFormat=MICROS, timestampFormat=MICROS
+    ).csv(path, header=True)
 
 
 def pruned(df: DataFrame, *columns: str) -> DataFrame:
