@@ -1,11 +1,11 @@
 """Connected components by repeated contraction.
 
-Each round every node points to the neighbour (or itself) of least random
-priority, follows that pointer once more, and the graph is rebuilt on the
-nodes pointed to. A constant share of the nodes vanishes per round whatever
-the shape of the graph or the order of its ids, so a chain of n nodes takes
-O(log n) rounds on ever smaller edge sets. Unwinding the rounds then hands the
-component's least id back to every node.
+Each round every node points to the node of least random priority at most two
+steps away, follows that pointer once more, and the graph is rebuilt on the
+nodes pointed to. Most nodes vanish per round whatever the shape of the graph
+or the order of its ids: chains and stars alike take O(log n) rounds on ever
+smaller edge sets. Unwinding the rounds then hands the component's least id
+back to every node.
 """
 
 from __future__ import annotations
@@ -19,10 +19,6 @@ from ..functions.durable import Workspace, stored
 from .joins import BROADCAST_ROWS, balanced_join
 
 
-# How often a round follows its pointers; each time halves the depth left.
-JUMPS = 1
-
-
 @dataclass
 class Components:
     labels: DataFrame
@@ -70,20 +66,25 @@ def _both_ways(edges: DataFrame, work: Workspace) -> DataFrame:
 
 
 def _parents(links: DataFrame, n_links: int, round_no: int, work: Workspace) -> DataFrame:
-    """``(id, parent)`` for every node with a link, pointers followed on."""
+    """``(id, parent)`` for every node with a link."""
+    large = n_links > BROADCAST_ROWS
     best = links.groupBy(F.col("src").alias("id")).agg(
         F.expr(f"min(xxhash64(dst, {round_no}))").alias("h"),
         F.expr(f"min_by(dst, xxhash64(dst, {round_no}))").alias("best"),
     )
-    pointers = best.selectExpr("id", f"IF(h < xxhash64(id, {round_no}), best, id) AS parent")
-    for _ in range(JUMPS):
-        onward = pointers.select(F.col("id").alias("parent"), F.col("parent").alias("next"))
-        pointers = balanced_join(pointers, onward, ["parent"], n_links).select(
-            "id", F.col("next").alias("parent")
-        )
-        if n_links > BROADCAST_ROWS:
-            pointers = work.store(pointers)
-    return pointers if n_links > BROADCAST_ROWS else work.store(pointers)
+    near = best.selectExpr("id", f"IF(h < xxhash64(id, {round_no}), best, id) AS near")
+    near = work.store(near) if large else near
+    # the least of the neighbours' choices is the least within two steps
+    onward = near.select(F.col("id").alias("dst"), "near")
+    pointers = (
+        balanced_join(links, onward, ["dst"], n_links)
+        .groupBy(F.col("src").alias("id"))
+        .agg(F.expr(f"min_by(near, xxhash64(near, {round_no}))").alias("parent"))
+    )
+    pointers = work.store(pointers) if large else pointers
+    onward = pointers.select(F.col("id").alias("parent"), F.col("parent").alias("next"))
+    jumped = balanced_join(pointers, onward, ["parent"], n_links)
+    return work.store(jumped.select("id", F.col("next").alias("parent")))
 
 
 def _contract(links: DataFrame, parents: DataFrame, n_parents: int, work: Workspace):
