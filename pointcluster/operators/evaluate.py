@@ -98,12 +98,12 @@ def inertia(labelled: DataFrame, centroids: DataFrame) -> DataFrame:
             for j, c in zip(ids, centers)
         )
         return flat.selectExpr(f"{cost} END AS cost").agg(F.sum("cost").alias("inertia"))
-    table = dict(zip(ids, np.array(centers)))
+    known, table = np.array(ids), np.array(centers)
 
     @F.pandas_udf("double")
     def cost_of(features: pd.Series, cluster: pd.Series) -> pd.Series:
-        x = np.stack(features.to_numpy())
-        own = np.stack([table[c] for c in cluster])
+        x = np.stack(features.to_numpy()) if len(features) else np.empty((0, d))
+        own = table[np.searchsorted(known, cluster.to_numpy())]
         return pd.Series(((x - own) ** 2).sum(axis=1))
 
     return labelled.select(cost_of("features", "cluster_id").alias("cost")).agg(

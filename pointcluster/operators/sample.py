@@ -1,18 +1,20 @@
 """Ordered limits and seeded samples, exact and repeatable.
 
 ``orderBy(...).limit(n)`` sends up to n rows of every partition to one task.
-That is right for a few hundred rows. Larger n first looks up the n-th key with
-counting jobs over key ranges and then filters on it, so that no task sees more
-than its own partition.
+That is right for a few rows. Larger n first looks up the n-th key with counting
+jobs over key ranges and then filters on it, so that no task sees more than its
+own partition.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-TOP_ROWS = 1_000
+TOP_ROWS = 100
 RANGE_ROWS = 1_000_000
+BUCKETS = 4_096
 
 
 def raw_limit(df: DataFrame, n: int, *order: str) -> DataFrame:
@@ -27,8 +29,11 @@ def limit_points(points: DataFrame, n: int | None, top_rows: int = TOP_ROWS) ->
     return first_rows(points, n, [F.col("id")], top_rows)
 
 
-def sample_key(seed: int | str, id_column: str = "id") -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string")))
+def sample_order(seed: int | str, id_column: str = "id") -> list[Column]:
+    """md5(seed:id), then the id; led by the digest's first 60 bits as a number,
+    which sorts alike and can be counted in ranges without a shuffle."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string")))
+    return [F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), digest, F.col(id_column)]
 
 
 def seeded_sample(
@@ -39,7 +44,7 @@ def seeded_sample(
     Ordered by md5(seed:id): the same rows on any partitioning, and all rows
     when ``n`` reaches their number.
     """
-    return first_rows(points, n, [sample_key(seed), F.col("id")], top_rows)
+    return first_rows(points, n, sample_order(seed), top_rows)
 
 
 def first_rows(
@@ -68,14 +73,16 @@ def _struct_lit(row, df: DataFrame, keys: list[str]) -> Column:
 
 
 def _nth_key(keyed: DataFrame, n: int, keys: list[str]):
-    """The n-th least key, or None if there are no more than n rows.
-
-    Each round range-partitions the keys left, and one row per partition (its
-    count and greatest key) tells which range holds the n-th. Rows up to a
-    partition's greatest key are exactly the rows of the partitions up to it.
-    """
+    """The n-th least key, or None if there are fewer than n rows."""
     left, remaining = keyed, n
+    if isinstance(keyed.schema[keys[0]].dataType, (T.IntegerType, T.LongType)):
+        narrowed = _narrow(left, remaining, keys[0])
+        if narrowed is None:
+            return None
+        left, remaining = narrowed
     while True:
+        # One row per range partition: its count and greatest key. Rows up to
+        # that key are exactly the rows of the partitions up to it.
         ranges = (
             left.repartitionByRange(*keys)
             .groupBy(F.spark_partition_id().alias("part"))
@@ -102,3 +109,30 @@ def _nth_key(keyed: DataFrame, n: int, keys: list[str]):
                 .first()["cut"]
             )
         left = narrowed
+
+
+def _narrow(left: DataFrame, remaining: int, key: str):
+    """Cut a numeric key range down to RANGE_ROWS around the wanted key.
+
+    Rounds of at most BUCKETS counts, combined before the shuffle; None if
+    there are fewer rows than wanted.
+    """
+    row = left.agg(F.min(key), F.max(key), F.count(key)).first()
+    lo, hi, rows = row
+    if rows < remaining:
+        return None
+    while rows > RANGE_ROWS and 0 < hi - lo < 2**62:
+        width = (hi - lo) // BUCKETS + 1
+        counts = dict(
+            left.groupBy(F.expr(f"({key} - ({lo}L)) div {width}L").alias("bucket"))
+            .agg(F.count("*"))
+            .collect()
+        )
+        for bucket in sorted(counts):
+            rows = counts[bucket]
+            if remaining <= rows:
+                break
+            remaining -= rows
+        lo, hi = lo + bucket * width, min(hi, lo + (bucket + 1) * width - 1)
+        left = left.where(F.col(key).between(lo, hi))
+    return left, remaining

@@ -7,6 +7,7 @@ from pointcluster import (
     cluster_sizes,
     distinct_clusters,
     in_top_clusters,
+    inertia,
     join_labels,
     kmeans,
     label_overlap,
@@ -66,6 +67,18 @@ def test_one_point_cluster_scores_zero(spark, monkeypatch):
     assert silhouette_sq(df).first()[0] == pytest.approx(want)
 
 
+def test_inertia_by_columns_and_blocks(labelled, spark, monkeypatch):
+    from pointcluster.operators.nearest import centroid_frame
+
+    x, labels, found = labelled
+    centers = [x[labels == j].mean(axis=0) for j in range(4)]
+    want = sum(((x[labels == j] - c) ** 2).sum() for j, c in enumerate(centers))
+    frame = centroid_frame(spark, centers)
+    assert inertia(found, frame).first()[0] == pytest.approx(want)
+    monkeypatch.setattr(evaluate, "unrolls", lambda k, d: False)
+    assert inertia(found, frame).first()[0] == pytest.approx(want)
+
+
 def test_euclidean_silhouette(labelled):
     x, labels, found = labelled
     row = silhouette_euclid(found, "lloyd", 1000).first()

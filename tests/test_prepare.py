@@ -107,6 +107,19 @@ def test_nth_key_narrows_over_several_rounds(make_points, monkeypatch):
     assert got == [f"k{i:05d}" for i in range(777)]
 
 
+def test_numeric_keys_are_counted_in_buckets(make_points, monkeypatch):
+    from pointcluster.operators import sample
+
+    monkeypatch.setattr(sample, "RANGE_ROWS", 5)
+    monkeypatch.setattr(sample, "BUCKETS", 7)
+    values = [i * i - 400 for i in range(300)]
+    points = make_points({v: (v, v) for v in values}, parts=4)
+    for n in (1, 123, 299, 300, 301):
+        assert ids(limit_points(points, n, top_rows=0)) == values[:n]
+    whole = ids(seeded_sample(points, 90, 3))
+    assert ids(seeded_sample(points, 90, 3, top_rows=0)) == whole
+
+
 def test_sample_is_exact_and_repeats(make_points):
     from hashlib import md5
 
