@@ -28,17 +28,19 @@ def balanced_join(
     big_counts: DataFrame | None = None,
     broadcast_rows: int | None = None,
     rows_per_salt: int | None = None,
+    salted: bool = True,
 ) -> DataFrame:
     """Join ``big`` with ``small``; ``how`` is inner, left, left_semi or left_anti.
 
     ``small_rows`` is a counted upper bound of the rows of ``small``. The salt
     of a row is a hash of the whole row, so a recomputed task repeats it.
+    ``salted=False`` is for keys that are known to have few rows each.
     ``big_counts`` may give the rows of ``big`` per key as ``(*on, n)``.
     """
     on = list(on)
     if small_rows <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
         return big.join(F.broadcast(small), on, how)
-    salts = salt_table(big, on, big_counts, rows_per_salt)
+    salts = salt_table(big, on, big_counts, rows_per_salt) if salted else None
     if salts is None:
         return big.join(small, on, how)
     salts = F.broadcast(salts)
