@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, linededup, quality
+from . import bpe, chat, decontaminate, linededup, quality, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
     "op2_chat_formatting": chat.op2,
     "op3_decontamination": decontaminate.op3,
     "op7_line_dedup": linededup.op7,
+    "op9_byte_bpe": bpe.op9,
+    "op10_warc": warc.op10,
 }
 
 ORACLES = {
     "op1_quality_rules": quality.OP1_SQL,
     "op2_chat_formatting": chat.OP2_SQL,
     "op3_decontamination": decontaminate.OP3_SQL,
+    "op10_warc": warc.OP10_SQL,
 }
