@@ -28,7 +28,17 @@ NO_ID = -(2**63)
 _own_root: list[str] = []
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver has it (if it is there)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -130,7 +140,3 @@ def words(text: Column, pattern: str = SPACES, chars: str = SPACE_CHARS) -> Colu
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
-
-
-def own_dir() -> str:
-    return os.path.dirname(os.path.abspath(__file__))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, linededup, quality, warc
+from . import bpe, chat, decontaminate, linededup, pii, quality, substring, toxicity, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
     "op2_chat_formatting": chat.op2,
     "op3_decontamination": decontaminate.op3,
+    "op5_substring_dedup": substring.op5,
+    "op6_pii": pii.op6,
     "op7_line_dedup": linededup.op7,
+    "op8_toxicity": toxicity.op8,
     "op9_byte_bpe": bpe.op9,
     "op10_warc": warc.op10,
 }

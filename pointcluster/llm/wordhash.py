@@ -27,7 +27,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def stream(n: int, seed: int) -> np.ndarray:
     """``n`` fixed pseudo-random odd numbers."""
-    at = np.arange(1, n + 1, dtype=np.uint64) + _U(seed) * _U(0x9E3779B97F4A7C15)
+    shift = seed * 0x9E3779B97F4A7C15 % 2**64
+    at = np.arange(1, n + 1, dtype=np.uint64) + _U(shift)
     return mix(at * _U(0x9E3779B97F4A7C15)) | _U(1)
 
 
