@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, linededup, pii, quality, substring, toxicity, warc
+from . import bpe, chat, decontaminate, linededup, neardup, pii, quality, substring, toxicity, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
     "op2_chat_formatting": chat.op2,
     "op3_decontamination": decontaminate.op3,
+    "op4_near_dedup": neardup.op4,
     "op5_substring_dedup": substring.op5,
     "op6_pii": pii.op6,
     "op7_line_dedup": linededup.op7,
