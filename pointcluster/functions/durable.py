@@ -7,29 +7,32 @@ the estimates and constraints of the plan behind it, which grow with every
 round of joins until planning takes longer than the job.)
 
 Only a local master without that setting (a test on one machine) gets a folder
-of its own; a cluster without it is an error, as executors share no disk.
+of its own, deleted when the driver exits; a cluster without it is an error, as
+executors share no disk. The session's own settings are never changed.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    if not sc.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="pointcluster-"))
-    return sc.getCheckpointDir()
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="pointcluster-"))
+        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+    return _own[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -44,6 +47,12 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    jvm, jsc = spark._jvm, spark._jsc
+    path = jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Workspace:
     """The intermediate tables of one run; ``close`` deletes them."""
 
@@ -58,7 +67,5 @@ class Workspace:
 
     def close(self) -> None:
         if self.n:
-            jvm, jsc = self.spark._jvm, self.spark._jsc
-            path = jvm.org.apache.hadoop.fs.Path(self.root)
-            path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
+            delete(self.spark, self.root)
             self.n = 0

@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,13 +55,37 @@ def features_column(names: Sequence[str]):
     )
 
 
+BAD_FEATURE = "null or NaN feature"
+
+
+def checked(value: str) -> str:
+    """``value``, or an error where it is null or NaN."""
+    return f"IF({value} IS NULL OR isnan({value}), CAST(raise_error('{BAD_FEATURE}') AS DOUBLE), {value})"
+
+
 def unpack(points: DataFrame, d: int, *keep: str) -> DataFrame:
-    """``features`` array -> double columns f0..f{d-1}; ``keep`` come first."""
+    """``features`` array -> double columns f0..f{d-1}; ``keep`` come first.
+
+    A null or NaN feature is an error, here and in ``feature_block``: no
+    distance to it exists, whatever the number of centers.
+    """
     return points.selectExpr(
-        *keep, *[f"features[{i}] AS {n}" for i, n in enumerate(feature_names(d))]
+        *keep, *[f"{checked(f'features[{i}]')} AS {n}" for i, n in enumerate(feature_names(d))]
     )
 
 
+def feature_block(features: pd.Series, d: int) -> np.ndarray:
+    """A batch of ``features`` as an array of (rows, d)."""
+    if not len(features):
+        return np.empty((0, d))
+    if features.isna().any():
+        raise ValueError(BAD_FEATURE)
+    x = np.stack(features.to_numpy())[:, :d].astype(float)
+    if np.isnan(x).any():
+        raise ValueError(BAD_FEATURE)
+    return x
+
+
 def sq_dist(left: Sequence[str], right: Sequence[str]) -> str:
     """Squared Euclidean distance between two lists of scalar expressions."""
     return " + ".join(f"({a} - {b}) * ({a} - {b})" for a, b in zip(left, right))

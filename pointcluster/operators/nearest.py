@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import feature_names, lit, sq_dist_to, unpack, unrolls
+from ..functions.exprs import feature_block, feature_names, sq_dist_to, unpack, unrolls
 
 CENTROID_SCHEMA = T.StructType(
     [
@@ -61,14 +61,31 @@ def nearest_columns(df: DataFrame, centers: Sequence[Sequence[float]]) -> DataFr
 
 
 def nearest_block(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index and squared distance of the nearest center for each row of x."""
+    """Index and squared distance of the nearest center for each row of x.
+
+    One matrix product per strip of rows finds the centers that can be nearest;
+    those within its rounding error are measured exactly, so ties and distances
+    come out as by direct differences.
+    """
     best = np.full(len(x), np.inf)
     index = np.zeros(len(x), dtype=np.int32)
-    for j, center in enumerate(centers):
-        d2 = ((x - center) ** 2).sum(axis=1)
-        closer = d2 < best
-        best[closer] = d2[closer]
-        index[closer] = j
+    middle = centers.mean(axis=0)
+    c = centers - middle
+    norms = (c * c).sum(axis=1)
+    strip = max(1, 4_000_000 // len(c))
+    for at in range(0, len(x), strip):
+        own = x[at : at + strip]
+        y = own - middle
+        size = (y * y).sum(axis=1)
+        rough = norms - 2.0 * (y @ c.T)
+        error = 1e-14 * x.shape[1] * (size + norms.max()) + 1e-300
+        near = rough <= (rough.min(axis=1) + 2 * error)[:, None]
+        rows, js = np.nonzero(near)
+        exact = ((own[rows] - centers[js]) ** 2).sum(axis=1)
+        order = np.lexsort((js, exact, rows))
+        first = order[np.append(True, rows[order][1:] != rows[order][:-1])]
+        best[at + rows[first]] = exact[first]
+        index[at + rows[first]] = js[first]
     return index, best
 
 
@@ -93,7 +110,7 @@ def assign_to_centers(
         @F.pandas_udf("c int, dist_sq double")
         def nearest(features: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for batch in features:
-                x = np.stack(batch.to_numpy()) if len(batch) else np.empty((0, d))
+                x = feature_block(batch, d)
                 index, d2 = nearest_block(x, table)
                 yield pd.DataFrame({"c": index, "dist_sq": d2})
 
@@ -110,25 +127,31 @@ def assign_to_centers(
 def centroid_distances(centroids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pair distances ``(i, j, dist)`` and half gaps ``(i, half_gap)``.
 
-    Only centroids are involved: k rows, k * k results.
+    Only centroids are involved: k rows, k * k results. Every row meets the
+    table of centers in a task; the k * k rows never pass through the driver.
     """
     ids, centers = centroid_list(centroids)
     spark = centroids.sparkSession
-    matrix = distance_matrix(centers)
-    gaps = half_gaps(matrix)
-    k = len(ids)
-    pairs = [(ids[i], ids[j], float(matrix[i, j])) for i in range(k) for j in range(k)]
-    return (
-        spark.createDataFrame(pairs, "i int, j int, dist double"),
-        spark.createDataFrame(
-            [(ids[i], float(gaps[i])) for i in range(k)], "i int, half_gap double"
-        ),
-    )
+    table, known = np.array(centers, dtype=float), np.array(ids)
+    rows = spark.range(0, len(ids), 1, max(1, min(len(ids) // 64, 1024)))
+
+    def measure(batches):
+        for batch in batches:
+            for i in batch["id"]:
+                dist = np.sqrt(((table - table[i]) ** 2).sum(axis=1))
+                yield pd.DataFrame(
+                    {"i": np.full(len(known), known[i], np.int32), "j": known.astype(np.int32), "dist": dist}
+                )
+
+    pairs = rows.mapInPandas(measure, "i int, j int, dist double")
+    gaps = pairs.where("i <> j").groupBy("i").agg((F.min("dist") / 2).alias("half_gap"))
+    return pairs, gaps
 
 
 def distance_matrix(centers) -> np.ndarray:
+    """k x k distances, a row at a time: memory k * (k + d)."""
     c = np.array(centers, dtype=float)
-    return np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(axis=2))
+    return np.array([np.sqrt(((c - row) ** 2).sum(axis=1)) for row in c])
 
 
 def half_gaps(matrix: np.ndarray) -> np.ndarray:

@@ -1,25 +1,32 @@
 """Ordered limits and seeded samples, exact and repeatable.
 
 ``orderBy(...).limit(n)`` sends up to n rows of every partition to one task.
-That is right for a few rows. Larger n first looks up the n-th key with counting
-jobs over key ranges and then filters on it, so that no task sees more than its
-own partition.
+That is right for a few rows. Larger n first looks up the n-th key and then
+filters on it, so that no task sees more than its own partition and no key is
+shuffled: one scan counts, the next counts below two keys that enclose the
+wanted one, and the keys in between, few by then, are ordered. For a seeded
+sample the two keys follow from the digests being uniform; for other keys from
+a hash sample of them, in as many rounds as it takes to get to ``BAND_ROWS``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TOP_ROWS = 100
-RANGE_ROWS = 1_000_000
-BUCKETS = 4_096
+BAND_ROWS = 100_000
+SAMPLE_KEYS = 50_000
+DIGEST_RANGE = 2**60
 
 
 def raw_limit(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """The first ``n`` raw rows, before any filter; ``order`` makes it repeat."""
-    return first_rows(df, n, [F.col(c) for c in order]) if order else df.limit(n)
+    """The first ``n`` raw rows by a unique key, before any filter."""
+    if not order:
+        raise ValueError("a limit without an order does not repeat: name a unique key")
+    return first_rows(df, n, [F.col(c) for c in order])
 
 
 def limit_points(points: DataFrame, n: int | None, top_rows: int = TOP_ROWS) -> DataFrame:
@@ -44,95 +51,68 @@ def seeded_sample(
     Ordered by md5(seed:id): the same rows on any partitioning, and all rows
     when ``n`` reaches their number.
     """
-    return first_rows(points, n, sample_order(seed), top_rows)
+    return first_rows(points, n, sample_order(seed), top_rows, uniform=True)
 
 
 def first_rows(
-    df: DataFrame, n: int, order: list[Column], top_rows: int = TOP_ROWS
+    df: DataFrame, n: int, order: list[Column], top_rows: int = TOP_ROWS, uniform: bool = False
 ) -> DataFrame:
-    """The ``n`` least rows by a unique key."""
+    """The ``n`` least rows by a unique key; ``uniform``: its first column is a digest."""
     if n <= 0:
         raise ValueError("limit must be a positive integer")
     if n <= top_rows:
         return df.orderBy(*order).limit(n)
     keys = [f"_k{i}" for i in range(len(order))]
     keyed = df.select("*", *[c.alias(k) for c, k in zip(order, keys)])
-    cut = _nth_key(keyed.select(*keys), n, keys)
+    cut = _nth_key(keyed.select(*keys), n, keys, uniform)
     if cut is not None:
-        keyed = keyed.where(_struct(keys) <= _struct_lit(cut, keyed, keys))
+        keyed = keyed.where(_up_to(keyed, keys, cut))
     return keyed.drop(*keys)
 
 
-def _struct(keys: list[str]) -> Column:
-    return F.struct(*keys)
-
-
-def _struct_lit(row, df: DataFrame, keys: list[str]) -> Column:
-    typed = [F.lit(v).cast(df.schema[k].dataType).alias(k) for v, k in zip(row, keys)]
-    return F.struct(*typed)
-
-
-def _nth_key(keyed: DataFrame, n: int, keys: list[str]):
-    """The n-th least key, or None if there are fewer than n rows."""
-    left, remaining = keyed, n
-    if isinstance(keyed.schema[keys[0]].dataType, (T.IntegerType, T.LongType)):
-        narrowed = _narrow(left, remaining, keys[0])
-        if narrowed is None:
-            return None
-        left, remaining = narrowed
-    while True:
-        # One row per range partition: its count and greatest key. Rows up to
-        # that key are exactly the rows of the partitions up to it.
-        ranges = (
-            left.repartitionByRange(*keys)
-            .groupBy(F.spark_partition_id().alias("part"))
-            .agg(F.count("*").alias("rows"), F.max(_struct(keys)).alias("last"))
-            .collect()
-        )
-        ranges.sort(key=lambda r: r["part"])
-        below = None
-        for r in ranges:
-            if remaining <= r["rows"]:
-                break
-            remaining -= r["rows"]
-            below = r["last"]
-        else:
-            return None
-        narrowed = left.where(_struct(keys) <= _struct_lit(r["last"], keyed, keys))
-        if below is not None:
-            narrowed = narrowed.where(_struct(keys) > _struct_lit(below, keyed, keys))
-        if r["rows"] <= RANGE_ROWS or len(ranges) == 1:
-            return (
-                narrowed.orderBy(*keys)
-                .limit(remaining)
-                .agg(F.max(_struct(keys)).alias("cut"))
-                .first()["cut"]
-            )
-        left = narrowed
-
-
-def _narrow(left: DataFrame, remaining: int, key: str):
-    """Cut a numeric key range down to RANGE_ROWS around the wanted key.
-
-    Rounds of at most BUCKETS counts, combined before the shuffle; None if
-    there are fewer rows than wanted.
-    """
-    row = left.agg(F.min(key), F.max(key), F.count(key)).first()
-    lo, hi, rows = row
-    if rows < remaining:
+def _up_to(df: DataFrame, keys: list[str], values) -> Column:
+    """Keys not beyond ``values``, which may name the leading columns only."""
+    names = keys[: len(values)]
+    typed = [F.lit(v).cast(df.schema[k].dataType).alias(k) for v, k in zip(values, names)]
+    return F.struct(*names) <= F.struct(*typed)
+
+
+def _nth_key(keyed: DataFrame, n: int, keys: list[str], uniform: bool):
+    """The n-th least key, or None if there are no more than n rows."""
+    rows = keyed.count()
+    if rows <= n:
         return None
-    while rows > RANGE_ROWS and 0 < hi - lo < 2**62:
-        width = (hi - lo) // BUCKETS + 1
-        counts = dict(
-            left.groupBy(F.expr(f"({key} - ({lo}L)) div {width}L").alias("bucket"))
-            .agg(F.count("*"))
-            .collect()
-        )
-        for bucket in sorted(counts):
-            rows = counts[bucket]
-            if remaining <= rows:
-                break
-            remaining -= rows
-        lo, hi = lo + bucket * width, min(hi, lo + (bucket + 1) * width - 1)
-        left = left.where(F.col(key).between(lo, hi))
-    return left, remaining
+    band, left = keyed, n
+    while rows > max(BAND_ROWS, SAMPLE_KEYS):
+        low, high = _digests(left, rows) if uniform else _sampled(band, left, rows, keys)
+        uniform = False  # what is left of a digest's range is sampled
+        if not low and not high:
+            break  # too few sampled keys to narrow: the band is small
+        below = _up_to(keyed, keys, low) if low else F.lit(False)
+        above = ~_up_to(keyed, keys, high) if high else F.lit(False)
+        n_low, n_high = band.agg(F.count_if(below), F.count_if(above)).first()
+        if n_low >= left:
+            band, rows = band.where(below), n_low
+        elif rows - n_high < left:
+            band, left, rows = band.where(above), left - (rows - n_high), n_high
+        else:
+            band, left, rows = band.where(~below & ~above), left - n_low, rows - n_low - n_high
+    last = band.orderBy(*keys).limit(left).agg(F.max(F.struct(*keys)).alias("cut")).first()
+    return last["cut"]
+
+
+def _digests(n: int, rows: int):
+    """Bounds that enclose the n-th of ``rows`` uniform digests but for odds of one in 1e15."""
+    slack = 8 * math.sqrt(n) + 8
+    low, high = ((n + s) / rows * DIGEST_RANGE for s in (-slack, slack))
+    return ([int(low)] if low > 0 else None), ([int(high)] if high < DIGEST_RANGE else None)
+
+
+def _sampled(band: DataFrame, n: int, rows: int, keys: list[str]):
+    """Sampled keys around the n-th; at most about ``SAMPLE_KEYS`` reach the driver."""
+    part = min(1_000_000, int(SAMPLE_KEYS / rows * 1_000_000) + 1)
+    chosen = band.where(F.pmod(F.xxhash64(*keys, F.lit(rows)), F.lit(1_000_000)) < part)
+    sample = sorted(tuple(r) for r in chosen.collect())
+    slack = 6 * math.sqrt(len(sample)) + 2
+    low, high = (int(n / rows * len(sample) + s) for s in (-slack, slack))
+    return (sample[low] if low >= 0 else None), (sample[high] if high < len(sample) else None)

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from .plans.dbscan import cell_side
 from .queries import (
     EMB_EPS,
     EMB_MIN_PTS,
+    FAR,
     K,
     K_LARGE,
+    K_WIDE,
     LIMIT,
     LINK_EPS,
+    MAX_ROUNDS,
     ROUNDS,
     SAMPLE,
     SEED,
+    TOL,
     TOP,
     TRIP_EPS,
     TRIP_MIN_PTS,
+    VARIANT_ROUNDS,
+    VARIANT_TOL,
 )
 
 TRIPS = """trips AS MATERIALIZED (
@@ -40,10 +45,12 @@ p AS MATERIALIZED (
 
 X, Y = "pickup_longitude", "pickup_latitude"
 POINTS = f"{TRIPS}, {scaled('trips', X, Y)}"
-EMB2D = (
-    "e AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS a, "
-    "CAST(embedding[2] AS DOUBLE) AS b FROM embeddings), " + scaled("e", "a", "b")
-)
+EMB3D = "e AS (SELECT vec_id AS id, " + ", ".join(
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(3)
+) + " FROM embeddings), p AS MATERIALIZED (SELECT id, " + ", ".join(
+    f"(e{i} - min(e{i}) OVER ()) / (max(e{i}) OVER () - min(e{i}) OVER ()) AS f{i}"
+    for i in range(3)
+) + " FROM e)"
 EMB64 = "p AS MATERIALIZED (SELECT vec_id AS id, " + ", ".join(
     f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(64)
 ) + " FROM embeddings)"
@@ -108,9 +115,30 @@ def dims(name: str, d: int = 64) -> str:
     )
 
 
-def dbscan(points: str, eps: float, min_pts: int) -> str:
+def stopped(rounds: int, tol: float, norm: str) -> str:
+    """CTEs sh(iter, shift), at(iter): the round at which the run stops."""
+    moves = f"sqrt({dist_sq('n', 'o')})"
+    total = f"sum({moves})" if norm == "sum" else f"sqrt(sum({dist_sq('n', 'o')}))"
+    each = " UNION ALL ".join(
+        f"SELECT {i} AS iter, (SELECT {total} FROM c{i} n JOIN c{i - 1} o USING (k)) AS shift"
+        for i in range(1, rounds + 1)
+    )
+    return (
+        f"sh AS ({each}), stop_at AS (SELECT coalesce(min(iter) FILTER (shift < {tol!r}), "
+        f"{rounds}) AS iter FROM sh)"
+    )
+
+
+def rested(rounds: int) -> str:
+    """The centers of the round at which the run stops."""
+    return "rest AS (" + " UNION ALL ".join(
+        f"SELECT {i} AS iter, k, f0, f1 FROM c{i}" for i in range(1, rounds + 1)
+    ) + ")"
+
+
+def dbscan(points: str, eps: float, min_pts: int, d: int = 2) -> str:
     """CTEs near, core, lab(id, cluster), edge(id, cluster) for border points."""
-    d2 = dist_sq("a", "b")
+    d2 = dist_sq("a", "b", d)
     e = f"CAST({eps!r} AS DOUBLE)"
     return f"""WITH RECURSIVE {points},
 near AS MATERIALIZED (
@@ -140,8 +168,14 @@ full_set AS MATERIALIZED (
 
 
 ON_TRIPS = dbscan(POINTS, TRIP_EPS, TRIP_MIN_PTS)
-ON_EMB = dbscan(EMB2D, EMB_EPS, EMB_MIN_PTS)
-SIDE = f"CAST({cell_side(EMB_EPS, 2, 1.0)!r} AS DOUBLE)"
+ON_EMB = dbscan(EMB3D, EMB_EPS, EMB_MIN_PTS, 3)
+# cells of side eps / sqrt(2), a trace smaller; the points span one unit
+SIDE = f"""(SELECT s * (1 - (CAST(1e-9 AS DOUBLE) + CAST(4e-15 AS DOUBLE) / s))
+  FROM (SELECT CAST({TRIP_EPS!r} AS DOUBLE) / CAST(2 AS DOUBLE) ** CAST(0.5 AS DOUBLE) AS s))"""
+CONVERGED = f"""WITH RECURSIVE {POINTS}, {start(K)}, {lloyd(MAX_ROUNDS)},
+{stopped(MAX_ROUNDS, TOL, 'sum')}, {rested(MAX_ROUNDS)}
+SELECT CAST(k AS INTEGER) AS cluster_id, round(f0, 6) AS c0, round(f1, 6) AS c1,
+  CAST(iter AS INTEGER) AS rounds FROM rest JOIN stop_at USING (iter)"""
 TOP_CLUSTERS = f"""top AS (
   SELECT cluster_id, count(*) AS "count" FROM found GROUP BY cluster_id
   ORDER BY count(*) DESC, cluster_id LIMIT {TOP})"""
@@ -223,6 +257,34 @@ def shifts(rounds: int) -> str:
     )
 
 
+def variant() -> str:
+    """Far-off last center: empty in round one, then the first point in the order of
+    the seed plus one; Frobenius norm below the tolerance ends the run."""
+    fresh = f"md5('{SEED + 1}:' || CAST(id AS VARCHAR)), id"
+    rest = lloyd(VARIANT_ROUNDS).replace(
+        "SELECT c.k, coalesce(m.f0, c.f0) AS f0, coalesce(m.f1, c.f1) AS f1 FROM c0 c",
+        "SELECT c.k, coalesce(m.f0, (SELECT f0 FROM fresh)) AS f0, "
+        "coalesce(m.f1, (SELECT f1 FROM fresh)) AS f1 FROM c0 c",
+    )
+    first = start(K - 1).replace("c0 AS MATERIALIZED (", "c0 AS MATERIALIZED (SELECT * FROM (", 1)
+    last = f" UNION ALL SELECT {K - 1}, CAST({FAR!r} AS DOUBLE), CAST({FAR!r} AS DOUBLE))"
+    first = first.removesuffix(")")
+    labels = " UNION ALL ".join(
+        f"SELECT {i} AS iter, id, k, f0, f1 FROM a{i}" for i in range(1, VARIANT_ROUNDS + 1)
+    )
+    return f"""WITH RECURSIVE {POINTS}, {first}){last},
+fresh AS (SELECT f0, f1 FROM p ORDER BY {fresh} LIMIT 1), {rest},
+{stopped(VARIANT_ROUNDS, VARIANT_TOL, 'l2')}, {rested(VARIANT_ROUNDS)},
+c AS (SELECT * FROM rest JOIN stop_at USING (iter)),
+a AS (SELECT * FROM ({labels}) JOIN stop_at USING (iter)),
+z AS (SELECT k, count(*) AS n FROM a GROUP BY k),
+t AS (SELECT round(sum({dist_sq('a', 'c')}), 6) AS inertia FROM a JOIN c USING (k))
+SELECT CAST(k AS INTEGER) AS cluster_id, round(f0, 6) AS c0, round(f1, 6) AS c1,
+  coalesce(n, 0) AS n, inertia, CAST(iter AS INTEGER) AS rounds
+FROM c LEFT JOIN z USING (k), t"""
+
+
+VARIANT = variant()
 LABELLED = f"{nearest(K)}"
 LABELLED_LARGE = f"{nearest(K_LARGE)}"
 
@@ -239,6 +301,8 @@ UNION ALL SELECT 1, min({Y}), max({Y}) FROM trips""",
     "src_centroids_roundtrip": f"WITH {POINTS}, {start(K)} {centers('c0')}",
     "src_assignments_roundtrip": f"""{LABELLED}
 SELECT CAST(id AS VARCHAR) AS point_id, k AS cluster_id FROM a""",
+    "src_overwrite": f"""WITH {POINTS}
+SELECT id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM p WHERE id % 3 = 0""",
     "filter_box": f"WITH {TRIPS} SELECT {RAW} FROM trips WHERE {BOXED}",
     "feature_hour": "SELECT event_id AS id, CAST(hour(ts) AS INTEGER) AS pickup_hour FROM events",
     "feature_assemble": f"""WITH {TRIPS}
@@ -262,6 +326,9 @@ SELECT {RAW} FROM head WHERE {BOXED}""",
     "limit_points": f"""WITH {TRIPS}
 SELECT id, round({X}, 6) AS f0, round({Y}, 6) AS f1
 FROM trips WHERE {BOXED} ORDER BY id LIMIT {LIMIT}""",
+    "limit_points_string_ids": f"""WITH {TRIPS}
+SELECT 'trip' || CAST(id AS VARCHAR) AS id, round({X}, 6) AS f0, round({Y}, 6) AS f1
+FROM trips ORDER BY 1 LIMIT {LIMIT}""",
     "seeded_sample": f"""WITH {POINTS}
 SELECT id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM p
 ORDER BY md5('{SEED}:' || CAST(id AS VARCHAR)), id LIMIT {K_LARGE}""",
@@ -271,6 +338,8 @@ ORDER BY md5('{SEED}:' || CAST(id AS VARCHAR)), id LIMIT {SAMPLE}""",
     "label_join": f"""{LABELLED}
 SELECT id, k AS cluster_id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM a WHERE k <> 0""",
     "assign_nearest": f"""{LABELLED_LARGE}
+SELECT id, k AS cluster_id, round(d2, 6) AS dist_sq FROM a""",
+    "assign_nearest_k40": f"""{nearest(K_WIDE)}
 SELECT id, k AS cluster_id, round(d2, 6) AS dist_sq FROM a""",
     "assign_nearest_wide": f"""{nearest(K, EMB64, 64)}
 SELECT id, k AS cluster_id, round(d2, 6) AS dist_sq FROM a""",
@@ -281,7 +350,7 @@ cc AS (SELECT a.k AS i, b.k AS j, sqrt({dist_sq('a', 'b')}) AS dist FROM c0 a, c
 g AS (SELECT i, min(dist) / 2 AS half_gap FROM cc WHERE i <> j GROUP BY i)
 SELECT cc.i, cc.j, round(dist, 6) AS dist, round(half_gap, 6) AS half_gap
 FROM cc JOIN g USING (i)""",
-    "label_remap": f"""{ON_EMB},
+    "label_remap": f"""{ON_TRIPS},
 cell AS (
   SELECT lab.id, lab.cluster, floor((f0 - (SELECT min(f0) FROM p)) / {SIDE}) AS cx,
     floor((f1 - (SELECT min(f1) FROM p)) / {SIDE}) AS cy
@@ -303,16 +372,17 @@ SELECT k AS cluster_id, count(*) AS "count" FROM a GROUP BY k""",
 SELECT count(*) AS n_raw, count(*) FILTER ({BOXED}) AS n_kept FROM trips""",
     "distinct_clusters": f"""{LABELLED_LARGE}
 SELECT count(DISTINCT k) AS n_clusters FROM a""",
-    "label_overlap": f"""{ON_EMB},
+    "label_overlap": f"""{ON_TRIPS},
 member AS (SELECT id, cluster FROM lab UNION SELECT id, cluster FROM touch)
 SELECT id AS point_id, string_agg(CAST(cluster AS VARCHAR), ',' ORDER BY cluster) AS labels
 FROM member GROUP BY id HAVING count(*) > 1""",
     "inertia": f"{LABELLED} SELECT round(sum(d2), 6) AS inertia FROM a",
+    "inertia_wide": f"{nearest(K, EMB64, 64)} SELECT round(sum(d2), 6) AS inertia FROM a",
     "silhouette_sq": f"{LABELLED}, {silhouette_sq(2)}",
     "silhouette_sq_wide": f"{nearest(K, EMB64, 64)}, {silhouette_sq(64)}",
     "silhouette_euclid": f"""{LABELLED},
 u AS MATERIALIZED (
-  SELECT * FROM a ORDER BY md5('{SEED}:' || CAST(id AS VARCHAR)), id LIMIT {SAMPLE}),
+  SELECT * FROM a ORDER BY md5('{SEED}:' || CAST(id AS VARCHAR)), id LIMIT 100000),
 m AS (SELECT k, count(*) AS n FROM u GROUP BY k),
 v AS (SELECT x.id, x.k AS own, y.k, sum(sqrt({dist_sq('x', 'y')})) AS t
   FROM u x, u y GROUP BY x.id, x.k, y.k),
@@ -340,16 +410,28 @@ SELECT 'lloyd' AS algorithm, CAST({K} AS INTEGER) AS k, CAST(2 AS INTEGER) AS ma
 {centers(f'c{ROUNDS}')}""",
     "kmeans_wide": f"""WITH RECURSIVE {EMB64}, {start(K, 64)}, {lloyd(ROUNDS, 64)}
 {dims(f'c{ROUNDS}')}""",
-    "kmeans_variant": f"""WITH RECURSIVE {POINTS}, {start(K)}, {lloyd(ROUNDS)},
-z AS (SELECT k, count(*) AS n FROM a{ROUNDS} GROUP BY k),
-t AS (SELECT round(sum({dist_sq('a', 'c')}), 6) AS inertia
-  FROM a{ROUNDS} a JOIN c{ROUNDS} c USING (k))
-SELECT k AS cluster_id, round(f0, 6) AS c0, round(f1, 6) AS c1, coalesce(n, 0) AS n, inertia
-FROM c{ROUNDS} LEFT JOIN z USING (k), t""",
+    "kmeans_variant": VARIANT,
+    "ml_kmeans_groups": f"""WITH g AS (
+  SELECT event_type, CAST(100 * ascii(event_type) + 10000 * length(event_type) AS DOUBLE) AS z,
+    value FROM events),
+p AS (SELECT event_type, z + value / 1000 AS f0, -2 * z - value / 500 AS f1 FROM g),
+m AS (SELECT event_type, count(*) AS n, avg(f0) AS c0, avg(f1) AS c1 FROM p GROUP BY event_type),
+t AS (SELECT sum((f0 - c0) ** 2 + (f1 - c1) ** 2) AS cost FROM p JOIN m USING (event_type))
+SELECT 'k-means||' AS init_mode, round(c0, 4) AS c0, round(c1, 4) AS c1, n,
+  round(cost, 2) AS training_cost FROM m, t""",
+    "ml_kmeans_random": f"""WITH p AS (
+  SELECT length(event_type) >= 6 AS g, CASE WHEN g THEN 50000 ELSE 0 END + value / 1000 AS f0,
+    value / 500 AS f1 FROM events),
+m AS (SELECT g, count(*) AS n, avg(f0) AS c0, avg(f1) AS c1 FROM p GROUP BY g),
+t AS (SELECT sum((f0 - c0) ** 2 + (f1 - c1) ** 2) AS cost FROM p JOIN m USING (g))
+SELECT 'random' AS init_mode, round(c0, 4) AS c0, round(c1, 4) AS c1, n,
+  round(cost, 2) AS training_cost FROM m, t""",
     "elkan_centroids": f"""WITH RECURSIVE {POINTS}, {start(K)}, {lloyd(ROUNDS)}
 {centers(f'c{ROUNDS}')}""",
     "elkan_wide": f"""WITH RECURSIVE {EMB64}, {start(K, 64)}, {lloyd(ROUNDS, 64)}
 {dims(f'c{ROUNDS}')}""",
+    "kmeans_converged": CONVERGED,
+    "elkan_converged": CONVERGED,
     "elkan_init": elkan_state(False),
     "elkan_step": elkan_state(True),
     "predict_nearest": f"""WITH {TRIPS}, boxed AS (SELECT * FROM trips WHERE {BOXED}),
@@ -360,9 +442,9 @@ SELECT CAST(id AS VARCHAR) AS point_id, k AS cluster_id, round(f0, 6) AS scaled_
     "dbscan_labels_emb": f"{ON_EMB} SELECT * FROM found",
     "dbscan_core": f"""{ON_TRIPS}
 SELECT p.id, core.id IS NOT NULL AS is_core FROM p LEFT JOIN core USING (id)""",
-    "dbscan_border": f"{ON_EMB} SELECT id, cluster AS cluster_id FROM edge",
-    "dbscan_with_noise": f"{ON_EMB} SELECT * FROM full_set",
-    "dbscan_no_noise": f"{ON_EMB} SELECT * FROM full_set WHERE cluster_id <> '-1'",
+    "dbscan_border": f"{ON_TRIPS} SELECT id, cluster AS cluster_id FROM edge",
+    "dbscan_with_noise": f"{ON_TRIPS} SELECT * FROM full_set",
+    "dbscan_no_noise": f"{ON_TRIPS} SELECT * FROM full_set WHERE cluster_id <> '-1'",
     "dbscan_summary": f"""{ON_TRIPS}
 SELECT count(*) AS n_points, count(*) FILTER (cluster_id = '-1') AS n_noise,
   count(DISTINCT CASE WHEN cluster_id <> '-1' THEN cluster_id END) AS n_clusters

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.durable import Workspace
-from ..functions.exprs import dimension, feature_names, unpack
+from ..functions.exprs import BAD_FEATURE, dimension, feature_names, unpack
 from ..operators.nearest import distance_matrix, half_gaps
 from ..operators.sample import limit_points
 from .kmeans import (
@@ -76,6 +76,8 @@ class BoundState:
         def start(batches):
             for batch in batches:
                 x = _read(batch, x_names, table.shape[1])
+                if np.isnan(x).any():
+                    raise ValueError(BAD_FEATURE)
                 low = np.empty((len(x), len(table)), order="F")
                 for j, center in enumerate(table):
                     low[:, j] = _dist(x, center)

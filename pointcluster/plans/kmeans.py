@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ..functions.exprs import dimension, feature_names, unpack, unrolls
+from ..functions.exprs import BAD_FEATURE, dimension, feature_names, unpack, unrolls
 from ..operators.nearest import (
     assign_to_centers,
     centroid_frame,
@@ -36,7 +36,6 @@ class KMeansResult:
     centers: list[list[float]]
     label_centers: list[list[float]]
     history_rows: list[tuple] = field(default_factory=list)
-    label_frame: DataFrame | None = None
 
     @property
     def centroids(self) -> DataFrame:
@@ -72,7 +71,12 @@ def initial_centers(points: DataFrame, k: int, seed: int) -> list[list[float]]:
     from hashlib import md5
 
     rows.sort(key=lambda r: (md5(f"{seed}:{r['id']}".encode()).hexdigest(), r["id"]))
-    return [[float(v) for v in r["features"]] for r in rows]
+    if any(r["features"] is None or None in r["features"] for r in rows):
+        raise ValueError(BAD_FEATURE)
+    centers = [[float(v) for v in r["features"]] for r in rows]
+    if np.isnan(centers).any():
+        raise ValueError(BAD_FEATURE)
+    return centers
 
 
 def cluster_means(features: DataFrame, centers: Sequence[Sequence[float]]) -> dict:

@@ -1,8 +1,9 @@
 """The registered queries: every operator on the given tables.
 
 Views: ``trips`` is the events table read as trip records (value and second of
-the day as coordinates, user id as count); ``emb2d`` and ``emb64`` are two or
-all components of the embeddings.
+the day as coordinates, user id as count); ``emb3d`` and ``emb64`` are three or
+all components of the embeddings; ``groups`` places each event far from those of
+other types.
 """
 
 from __future__ import annotations
@@ -65,10 +66,14 @@ K_LARGE = 11
 ROUNDS = 5
 SEED = 42
 TRIP_EPS, TRIP_MIN_PTS = 0.005, 10
-EMB_EPS, EMB_MIN_PTS = 0.03, 5
+EMB_EPS, EMB_MIN_PTS = 0.05, 5
 LINK_EPS = 0.002
 LIMIT = 3_000
 SAMPLE = 2_000
+K_WIDE = 40
+MAX_ROUNDS, TOL = 20, 1e-4
+VARIANT_ROUNDS, VARIANT_TOL = 12, 0.02
+FAR = 1000.0
 TOP = 10
 
 COORDS = ["pickup_longitude", "pickup_latitude"]
@@ -91,14 +96,23 @@ def trip_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scale(raw, fit_minmax(raw))
 
 
-def emb2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+def emb3d(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr(
-        "vec_id AS id", "embedding[0] AS a", "embedding[1] AS b"
+        "vec_id AS id", "embedding[0] AS a", "embedding[1] AS b", "embedding[2] AS c"
     )
-    raw = assemble(table, "id", ["a", "b"])
+    raw = assemble(table, "id", ["a", "b", "c"])
     return scale(raw, fit_minmax(raw))
 
 
+def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One far-apart place per event type, with a small offset from the value."""
+    place = "CAST(100 * ascii(event_type) + 10000 * length(event_type) AS DOUBLE)"
+    table = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id AS id", f"{place} + value / 1000 AS a", f"-2 * {place} - value / 500 AS b"
+    )
+    return assemble(table, "id", ["a", "b"])
+
+
 def emb64(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr(
         "vec_id AS id", "CAST(embedding AS ARRAY<DOUBLE>) AS features"
@@ -175,6 +189,15 @@ def src_assignments_roundtrip(spark, sf_dir):
     return tables.read_labels(spark, path)
 
 
+def src_overwrite(spark, sf_dir):
+    """A second write replaces the first one's rows."""
+    path = scratch_path(spark, "points")
+    points = trip_points(spark, sf_dir)
+    tables.write_points(points, path)
+    tables.write_points(points.where("id % 3 = 0"), path)
+    return _flat(tables.read_points(spark, path), "id")
+
+
 # -- projections, filters, scaling -------------------------------------------
 
 
@@ -232,6 +255,13 @@ def points_limit(spark, sf_dir):
     return _flat(limit_points(raw, LIMIT), "id")
 
 
+def points_limit_strings(spark, sf_dir):
+    """String ids, as raw trips have: another order, no shuffle of keys."""
+    named = trips(spark, sf_dir).withColumn("id", F.concat(F.lit("trip"), F.col("id").cast("string")))
+    raw = assemble(named, "id", COORDS)
+    return _flat(limit_points(raw, LIMIT), "id")
+
+
 def sample_seeded(spark, sf_dir):
     return _flat(seeded_sample(trip_points(spark, sf_dir), K_LARGE, SEED), "id")
 
@@ -255,6 +285,12 @@ def nearest_join(spark, sf_dir):
     return found.select("id", "cluster_id", F.round("dist_sq", 6).alias("dist_sq"))
 
 
+def nearest_join_k40(spark, sf_dir):
+    """More centers than are unrolled, in two dimensions."""
+    found = _labelled(trip_points(spark, sf_dir), K_WIDE)
+    return found.select("id", "cluster_id", F.round("dist_sq", 6).alias("dist_sq"))
+
+
 def nearest_join_wide(spark, sf_dir):
     """All 64 embedding components: the numpy block path."""
     found = _labelled(emb64(spark, sf_dir))
@@ -274,7 +310,7 @@ def center_gaps(spark, sf_dir):
 
 
 def label_remap(spark, sf_dir):
-    return dbscan_local_labels(emb2d(spark, sf_dir), EMB_EPS, EMB_MIN_PTS)
+    return dbscan_local_labels(trip_points(spark, sf_dir), TRIP_EPS, TRIP_MIN_PTS)
 
 
 def centroid_compare(spark, sf_dir):
@@ -327,7 +363,7 @@ def clusters_distinct(spark, sf_dir):
 
 def overlap(spark, sf_dir):
     """Border points within reach of more than one cluster."""
-    found = label_overlap(dbscan_memberships(emb2d(spark, sf_dir), EMB_EPS, EMB_MIN_PTS))
+    found = label_overlap(dbscan_memberships(trip_points(spark, sf_dir), TRIP_EPS, TRIP_MIN_PTS))
     return found.select(
         "point_id",
         F.concat_ws(",", F.transform("labels", lambda v: v.cast("string"))).alias("labels"),
@@ -340,6 +376,12 @@ def inertia_total(spark, sf_dir):
     return found.select(F.round("inertia", 6).alias("inertia"))
 
 
+def inertia_wide(spark, sf_dir):
+    points = emb64(spark, sf_dir)
+    found = inertia(_labelled(points), _start(points))
+    return found.select(F.round("inertia", 6).alias("inertia"))
+
+
 def silhouette_squared(spark, sf_dir):
     found = silhouette_sq(_labelled(trip_points(spark, sf_dir)))
     return found.select(F.round("silhouette", 6).alias("silhouette"))
@@ -351,7 +393,8 @@ def silhouette_squared_wide(spark, sf_dir):
 
 
 def silhouette_sampled(spark, sf_dir):
-    found = silhouette_euclid(_labelled(trip_points(spark, sf_dir)), "nearest", SAMPLE, SEED)
+    """Up to 100,000 rows, the operator's usual sample."""
+    found = silhouette_euclid(_labelled(trip_points(spark, sf_dir)), "nearest", seed=SEED)
     return found.withColumn("silhouette_score", F.round("silhouette_score", 6))
 
 
@@ -398,10 +441,29 @@ def _dims(centroids):
     )
 
 
+def kmeans_converged(spark, sf_dir):
+    """The usual rounds and tolerance: stops when the centers rest."""
+    return _stopped(kmeans(trip_points(spark, sf_dir), K, MAX_ROUNDS, TOL, SEED))
+
+
+def elkan_converged(spark, sf_dir):
+    return _stopped(elkan_kmeans(trip_points(spark, sf_dir), K, MAX_ROUNDS, TOL, SEED))
+
+
+def _stopped(run):
+    rounds = F.lit(len(run.history_rows)).cast("int")
+    return _centers(run.centroids).withColumn("rounds", rounds)
+
+
 def kmeans_variant(spark, sf_dir):
-    """Reseed empty clusters, Frobenius stop rule; last labels and inertia."""
+    """Reseed empty clusters, Frobenius stop rule; last labels and inertia.
+
+    The last start center is far off, so its cluster is empty in round one.
+    """
+    points = trip_points(spark, sf_dir)
+    init = [*initial_centers(points, K - 1, SEED), [FAR, FAR]]
     run = kmeans(
-        trip_points(spark, sf_dir), K, ROUNDS, 0.0, SEED, empty="reseed", shift_norm="l2"
+        points, K, VARIANT_ROUNDS, VARIANT_TOL, SEED, init=init, empty="reseed", shift_norm="l2"
     )
     total = run.inertia().first()[0]
     counts = cluster_sizes(run.labels())
@@ -414,6 +476,7 @@ def kmeans_variant(spark, sf_dir):
             "c1",
             F.coalesce("count", F.lit(0)).alias("n"),
             F.round(F.lit(total), 6).alias("inertia"),
+            F.lit(len(run.history_rows)).cast("int").alias("rounds"),
         )
     )
 
@@ -456,6 +519,39 @@ def ml_check(spark, sf_dir):
     )
 
 
+def _ml_rows(run, mode):
+    """Clusters in the order of their place, for runs with any sensible start."""
+    cost = run.metrics.first()["training_cost"]
+    counts = cluster_sizes(run.labels)
+    return _flat(run.centroids, "cluster_id", names=("c0", "c1"), column="centroid").join(
+        counts, "cluster_id"
+    ).select(
+        F.lit(mode).alias("init_mode"),
+        F.round("c0", 4).alias("c0"),
+        F.round("c1", 4).alias("c1"),
+        F.col("count").alias("n"),
+        F.round(F.lit(cost), 2).alias("training_cost"),
+    )
+
+
+def ml_groups(spark, sf_dir):
+    """Far-apart groups: every start but an unlucky one finds just them."""
+    points = groups(spark, sf_dir)
+    k = points.select((F.col("features")[0] / 10000).cast("int"), (F.col("features")[0] / 100).cast("int")).distinct().count()
+    return _ml_rows(ml_kmeans(points, k, 20, 1e-4, SEED), "k-means||")
+
+
+def ml_random_start(spark, sf_dir):
+    """Two groups far apart: even two starts in one of them part in the next rounds."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id AS id",
+        "IF(length(event_type) >= 6, 50000D, 0D) + value / 1000 AS a",
+        "value / 500 AS b",
+    )
+    run = ml_kmeans(assemble(table, "id", ["a", "b"]), 2, 20, 1e-4, SEED, init_mode="random")
+    return _ml_rows(run, "random")
+
+
 def predict(spark, sf_dir):
     """Scaler and centroids from the trips in the box; all boxed trips scored."""
     raw = trips(spark, sf_dir)
@@ -478,7 +574,8 @@ def dbscan_labels(spark, sf_dir):
 
 
 def dbscan_labels_emb(spark, sf_dir):
-    return dbscan(emb2d(spark, sf_dir), EMB_EPS, EMB_MIN_PTS)
+    """Three components: a grid of cubes."""
+    return dbscan(emb3d(spark, sf_dir), EMB_EPS, EMB_MIN_PTS)
 
 
 def dbscan_core_flags(spark, sf_dir):
@@ -486,11 +583,11 @@ def dbscan_core_flags(spark, sf_dir):
 
 
 def dbscan_border_points(spark, sf_dir):
-    return dbscan_border(emb2d(spark, sf_dir), EMB_EPS, EMB_MIN_PTS)
+    return dbscan_border(trip_points(spark, sf_dir), TRIP_EPS, TRIP_MIN_PTS)
 
 
 def dbscan_with_noise(spark, sf_dir):
-    return dbscan(emb2d(spark, sf_dir), EMB_EPS, EMB_MIN_PTS, include_noise=True)
+    return dbscan(trip_points(spark, sf_dir), TRIP_EPS, TRIP_MIN_PTS, include_noise=True)
 
 
 def dbscan_no_noise(spark, sf_dir):
@@ -533,6 +630,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_scaler_roundtrip": src_scaler_roundtrip,
     "src_centroids_roundtrip": src_centroids_roundtrip,
     "src_assignments_roundtrip": src_assignments_roundtrip,
+    "src_overwrite": src_overwrite,
     "filter_box": box_filter,
     "feature_hour": feature_hour,
     "feature_assemble": feature_assemble,
@@ -543,10 +641,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inverse_scale": scale_inverse,
     "limit_then_filter": limit_then_filter,
     "limit_points": points_limit,
+    "limit_points_string_ids": points_limit_strings,
     "seeded_sample": sample_seeded,
     "seeded_sample_capped": sample_capped,
     "label_join": label_join,
     "assign_nearest": nearest_join,
+    "assign_nearest_k40": nearest_join_k40,
     "assign_nearest_wide": nearest_join_wide,
     "eps_neighbors": eps_pairs,
     "centroid_distances": center_gaps,
@@ -558,6 +658,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_clusters": clusters_distinct,
     "label_overlap": overlap,
     "inertia": inertia_total,
+    "inertia_wide": inertia_wide,
     "silhouette_sq": silhouette_squared,
     "silhouette_sq_wide": silhouette_squared_wide,
     "silhouette_euclid": silhouette_sampled,
@@ -566,12 +667,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_centroids": kmeans_centroids,
     "kmeans_centroids_k11": kmeans_centroids_k11,
     "kmeans_wide": kmeans_wide,
+    "kmeans_converged": kmeans_converged,
     "kmeans_variant": kmeans_variant,
+    "elkan_converged": elkan_converged,
     "elkan_centroids": elkan_centroids,
     "elkan_wide": elkan_wide,
     "elkan_init": elkan_start,
     "elkan_step": elkan_round,
     "ml_kmeans": ml_check,
+    "ml_kmeans_groups": ml_groups,
+    "ml_kmeans_random": ml_random_start,
     "predict_nearest": predict,
     "dbscan_labels": dbscan_labels,
     "dbscan_labels_emb": dbscan_labels_emb,

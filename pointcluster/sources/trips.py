@@ -30,11 +30,12 @@ def read_trips(
     """Read trips from CSV.
 
     Columns are matched to the header by name, so files may carry more columns
-    in any order; only the selected ones are parsed. ``infer_schema`` costs a
-    further pass over the files.
+    in any order; only the selected ones are parsed. All files of a folder need
+    the same header: one that differs is an error, never a swap of columns.
+    ``infer_schema`` costs a further pass over the files.
     """
     if infer_schema:
-        df = spark.read.csv(path, header=True, inferSchema=True)
+        df = spark.read.csv(path, header=True, inferSchema=True, enforceSchema=False)
     else:
         header = spark.read.csv(path, header=True, enforceSchema=False).columns
         wanted = {f.name: f for f in schema.fields}
@@ -44,7 +45,7 @@ def read_trips(
         full = T.StructType(
             [wanted.get(n, T.StructField(n, T.StringType())) for n in header]
         )
-        df = spark.read.csv(path, header=True, schema=full).select(
+        df = spark.read.csv(path, header=True, schema=full, enforceSchema=False).select(
             *[n for n in wanted if n in header]
         )
     return df.select(*columns) if columns else df

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pointcluster import (
     cluster_sizes,
@@ -93,13 +94,95 @@ def test_euclidean_silhouette(labelled):
     assert few["silhouette_sample_size"] == 50 and few["n_points"] == 240
 
 
+@pytest.mark.parametrize("block", [16, 50, 100])
+def test_euclidean_silhouette_in_blocks(labelled, monkeypatch, block):
+    """Clusters larger than a block, whole small ones, and one of a single point."""
+    x, labels, found = labelled
+    monkeypatch.setattr(evaluate, "SAMPLE_BLOCK", block)
+    split = found.withColumn("cluster_id", F.expr("IF(id = 7, 99, IF(id < 30, id % 3 + 50, cluster_id))"))
+    own = np.where(np.arange(240) < 30, np.arange(240) % 3 + 50, labels)
+    own[7] = 99
+    score = silhouette_euclid(split, "x", 1000).first()["silhouette_score"]
+    assert score == pytest.approx(silhouette(x, own, 1), abs=1e-12)
+
+
+def test_squared_silhouette_beyond_one_block(labelled, monkeypatch):
+    x, labels, found = labelled
+    monkeypatch.setattr(evaluate, "SCORE_CLUSTERS", 3)
+    monkeypatch.setattr(evaluate, "SCORE_ROWS", 100)
+    many = found.withColumn("cluster_id", F.expr("concat('it''s ', cast(cluster_id * 10 + id % 5 as string))"))
+    own = labels * 10 + np.arange(240) % 5
+    assert silhouette_sq(many).first()[0] == pytest.approx(silhouette(x, own, 2), abs=1e-12)
+
+
+def test_labels_with_quotes_and_far_data(labelled):
+    x, labels, found = labelled
+    quoted = found.withColumn("cluster_id", F.concat(F.lit("o'"), F.col("cluster_id").cast("string")))
+    far = quoted.withColumn("features", F.transform("features", lambda v: v + 1e7))
+    want = silhouette(x, labels, 2)
+    assert silhouette_sq(quoted).first()[0] == pytest.approx(want, abs=1e-12)
+    assert silhouette_sq(far).first()[0] == pytest.approx(want, abs=1e-6)
+
+
+@pytest.mark.parametrize("k", [3, 30])
+@pytest.mark.parametrize("bad", [[1.0, None], [float("nan"), 0.0], None])
+def test_null_and_nan_features_are_errors(spark, k, bad):
+    from pointcluster import assign_nearest, dbscan, elkan_kmeans, eps_neighbors
+    from pointcluster.operators.nearest import centroid_frame
+
+    rows = [(i, [float(i), float(i % 7)]) for i in range(40)] + [(99, bad)]
+    points = spark.createDataFrame(rows, "id long, features array<double>")
+    centers = [[float(j), float(j % 5)] for j in range(k)]
+    frame = centroid_frame(spark, centers)
+    labelled = points.withColumn("cluster_id", F.lit(0))
+    for work in (
+        lambda: assign_nearest(points, frame).collect(),
+        lambda: kmeans(points, k, 2, init=centers),
+        lambda: elkan_kmeans(points, k, 2, init=centers),
+        lambda: inertia(labelled, frame).collect(),
+        lambda: silhouette_sq(labelled).collect(),
+        lambda: eps_neighbors(points, 1.0).collect(),
+        lambda: dbscan(points, 1.0, 2, include_noise=True).collect(),
+    ):
+        with pytest.raises(Exception, match="null or NaN feature"):
+            work()
+
+
+@pytest.mark.parametrize("k", [3, 30])
+@pytest.mark.parametrize("label", [-1, 1000, None])
+def test_labels_without_a_centroid_are_errors(spark, k, label):
+    from pointcluster.operators.nearest import centroid_frame
+
+    frame = centroid_frame(spark, [[float(j), 0.0] for j in range(k)])
+    rows = [([1.0, 1.0], 1), ([5.0, 5.0], label)]
+    df = spark.createDataFrame(rows, "features array<double>, cluster_id int")
+    with pytest.raises(Exception, match="label without a centroid"):
+        inertia(df, frame).collect()
+
+
+def test_nearest_of_many_centers_is_exact(spark, make_points):
+    from pointcluster import assign_nearest
+    from pointcluster.operators.nearest import centroid_frame
+
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random((300, 2)), 2) + 1e6
+    centers = np.round(rng.random((50, 2)), 2) + 1e6
+    centers[40:] = centers[:10]  # ties: the lower index wins
+    found = assign_nearest(make_points([tuple(v) for v in x]), centroid_frame(spark, centers))
+    d2 = ((x[:, None] - centers[None]) ** 2).sum(axis=2)
+    for r in found.collect():
+        assert r["cluster_id"] == d2[r["id"]].argmin() and r["dist_sq"] == d2[r["id"]].min()
+
+
 def test_one_label_has_no_silhouette(labelled):
     _, _, found = labelled
     one = found.withColumn("cluster_id", found["cluster_id"] * 0)
     assert math.isnan(silhouette_euclid(one, "x", 100).first()["silhouette_score"])
     assert math.isnan(silhouette_sq(one).first()[0])
     with pytest.raises(ValueError):
-        silhouette_euclid(found, "x", 10**9)
+        silhouette_euclid(found, "x", 0)
+    # no cap: a sample size beyond the rows takes all rows
+    assert silhouette_euclid(found, "x", 10**9).first()["silhouette_sample_size"] == 240
 
 
 def test_counts(spark):

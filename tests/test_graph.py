@@ -96,11 +96,36 @@ def test_neighbors_match_brute_force(random_points, d):
     want = neighbors(x, 0.07)
     got = eps_neighbors(points, 0.07)
     assert {(r["id"], r["neighbor_id"]) for r in got.collect()} == want
-    salted = eps_neighbors(points, 0.07, rows_per_salt=5)
-    assert {(r["id"], r["neighbor_id"]) for r in salted.collect()} == want
+    salted = eps_neighbors(points, 0.07, pairs_per_task=50)
+    assert sorted((r["id"], r["neighbor_id"]) for r in salted.collect()) == sorted(want)
     assert got.count() == len(want)
 
 
+def test_crowded_cell_is_cut_on_both_sides(spark, make_points):
+    """10,000 points in one cell: no two parts meet in more tests than the budget."""
+    from pointcluster.operators.neighbors import pair_salts, with_cells
+
+    points = spark.range(10_000).selectExpr(
+        "id", "array(CAST(id AS DOUBLE) * 10, CAST(id % 7 AS DOUBLE) * 10) AS features"
+    )
+    budget = 1_000_000
+    crowd = with_cells(points, 2, [0.0, 0.0], 1e6)
+    cut = pair_salts(crowd, ["c0", "c1"], budget).first()
+    assert cut["_sl"] > 1 and cut["_sr"] > 1
+    assert 10_000 / cut["_sl"] * 10_000 / cut["_sr"] <= budget
+    assert cut["_sl"] * cut["_sr"] <= 4 * 10_000**2 / budget
+    got = eps_neighbors(points, 10.0, pairs_per_task=budget)
+    assert pair_salts(crowd, ["c0", "c1"], 10**9) is None
+    x = points.collect()
+    want = sum(
+        1
+        for i in range(10_000)
+        for j in range(max(0, i - 1), min(10_000, i + 2))
+        if (10 * (i - j)) ** 2 + (10 * (i % 7 - j % 7)) ** 2 <= 100
+    )
+    assert got.count() == want and len(x) == 10_000
+
+
 def test_neighbors_plan_is_an_equi_join(random_points):
     _, points = random_points(50)
     text = eps_neighbors(points, 0.1)._jdf.queryExecution().executedPlan().toString()

@@ -2,6 +2,8 @@ import datetime as dt
 
 import pytest
 
+from pointcluster.operators import sample
+
 from pointcluster import (
     assemble,
     filter_box,
@@ -93,31 +95,47 @@ def test_limits_follow_the_id(make_points):
     assert ids(raw_limit(points, 3, "id")) == [0, 1, 2]
 
 
-def test_nth_key_narrows_over_several_rounds(make_points, monkeypatch):
-    from pointcluster.operators import sample
-
-    monkeypatch.setattr(sample, "RANGE_ROWS", 10)
+@pytest.mark.parametrize("band,keys", [(10, 400), (900, 200)])
+def test_nth_key_narrows_over_several_rounds(make_points, monkeypatch, band, keys):
+    monkeypatch.setattr(sample, "BAND_ROWS", band)
+    monkeypatch.setattr(sample, "SAMPLE_KEYS", keys)
     points = make_points({f"k{i:05d}": (i, i) for i in range(2000)}, parts=5)
-    spark = points.sparkSession
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        got = ids(limit_points(points, 777, top_rows=1))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert got == [f"k{i:05d}" for i in range(777)]
-
-
-def test_numeric_keys_are_counted_in_buckets(make_points, monkeypatch):
-    from pointcluster.operators import sample
-
-    monkeypatch.setattr(sample, "RANGE_ROWS", 5)
-    monkeypatch.setattr(sample, "BUCKETS", 7)
+    for n in (3, 777, 2000):
+        assert ids(limit_points(points, n, top_rows=1)) == [f"k{i:05d}" for i in range(min(n, 2000))]
     values = [i * i - 400 for i in range(300)]
     points = make_points({v: (v, v) for v in values}, parts=4)
     for n in (1, 123, 299, 300, 301):
         assert ids(limit_points(points, n, top_rows=0)) == values[:n]
-    whole = ids(seeded_sample(points, 90, 3))
-    assert ids(seeded_sample(points, 90, 3, top_rows=0)) == whole
+
+
+def test_digest_bounds(make_points, monkeypatch):
+    monkeypatch.setattr(sample, "BAND_ROWS", 5)
+    monkeypatch.setattr(sample, "SAMPLE_KEYS", 300)
+    points = make_points([(i, i) for i in range(3000)], parts=4)
+    whole = {n: ids(points.orderBy(*sample.sample_order(3)).limit(n)) for n in (1, 90, 1500, 2990)}
+    for n, want in whole.items():
+        assert ids(seeded_sample(points, n, 3, top_rows=0)) == want
+
+
+def test_limits_take_few_jobs(spark, make_points):
+    """Counting, enclosing and ordering the band: no more scans than that."""
+    points = make_points({f"k{i:05d}": (i, i) for i in range(3000)}, parts=5).cache()
+    points.count()
+    context = spark.sparkContext
+    for name, work in (
+        ("sample", lambda: seeded_sample(points, 1000, 3)),
+        ("limit", lambda: limit_points(points, 1000)),
+    ):
+        context.setJobGroup(name, name)
+        work()
+        assert len(context.statusTracker().getJobIdsForGroup(name)) <= 5, name
+    context.setLocalProperty("spark.jobGroup.id", None)
+    points.unpersist()
+
+
+def test_raw_limit_needs_an_order(make_points):
+    with pytest.raises(ValueError):
+        raw_limit(make_points([(1, 1)]), 3)
 
 
 def test_sample_is_exact_and_repeats(make_points):

@@ -94,4 +94,20 @@ def test_comparison_aligns_sets_of_different_ids(spark, make_points):
     assert rows["cluster_0"]["a_scaled"] == [0.123457, 0.5]
     assert rows["cluster_0"]["b_scaled"] is None
     assert rows["cluster_1"]["b"] == [1.0, 25.0]
-    assert F is not None
+
+
+def test_files_of_another_column_order_are_refused(spark, tmp_path):
+    folder = tmp_path / "trips"
+    folder.mkdir()
+    head = "id,pickup_datetime,{},passenger_count"
+    (folder / "a.csv").write_text(
+        head.format("pickup_longitude,pickup_latitude") + "\n1,2016-01-01 00:00:00,-73.9,40.7,1\n"
+    )
+    (folder / "b.csv").write_text(
+        head.format("pickup_latitude,pickup_longitude") + "\n2,2016-01-01 00:00:00,40.7,-73.9,1\n"
+    )
+    with pytest.raises(Exception, match="header does not conform"):
+        trips.read_trips(spark, str(folder)).collect()
+    for name in "ab":
+        row = trips.read_trips(spark, str(folder / f"{name}.csv")).first()
+        assert (row["pickup_longitude"], row["pickup_latitude"]) == (-73.9, 40.7)
