@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sliced, table
 
 NONE = np.int32(2**31 - 1)
 CACHE_PIECES = 300_000
@@ -281,12 +281,6 @@ def _codec(ranks_file: bytes, pattern: str) -> Codec:
     return _codecs[key]
 
 
-def _slices(batches, rows: int = 1000):
-    for batch in batches:
-        for lo in range(0, batch.num_rows, rows):
-            yield batch.slice(lo, rows)
-
-
 class Tokenizer:
     """The codec on the executors; the vocabulary file (under 2 MB) is broadcast."""
 
@@ -302,7 +296,7 @@ class Tokenizer:
 
         def run(batches):
             codec = _codec(file.value, pattern)
-            for batch in _slices(batches):
+            for batch in sliced(batches, 1000):
                 texts = [t or "" for t in batch.column(text).to_pylist()]
                 yield batch.append_column(ids, pa.array(codec.encode(texts), pa.binary()))
 
@@ -315,7 +309,7 @@ class Tokenizer:
 
         def run(batches):
             codec = _codec(file.value, pattern)
-            for batch in _slices(batches):
+            for batch in sliced(batches, 1000):
                 found = [codec.decode(i or b"") for i in batch.column(ids).to_pylist()]
                 yield batch.append_column(out, pa.array(found, pa.binary()))
 

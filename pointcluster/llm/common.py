@@ -91,6 +91,13 @@ class Tables:
             shutil.rmtree(self.root.removeprefix("file://"), ignore_errors=True)
 
 
+def sliced(batches, rows: int = 500):
+    """Arrow batches in slices, so that a task turns few rows into Python objects at once."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def free_names(df: DataFrame, *bases: str) -> list[str]:
     """Column names that ``df`` does not have yet, in any case of letters."""
     taken = {c.lower() for c in df.columns}

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sliced, table
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
@@ -289,7 +289,7 @@ def train(docs: DataFrame, train_islands: int = 1500) -> Field:
     sample = marked.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
 
     def cut(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             pieces = []
             for text in batch.column("text").to_pylist():
                 for run in islands(text):
@@ -331,7 +331,7 @@ def with_spans(docs: DataFrame, field: Field) -> DataFrame:
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             found = [find_spans(t, field) for t in batch.column("text").to_pylist()]
             sides = [
                 pa.array([[dict(zip(("start", "end", "kind"), s)) for s in f[side]] for f in found],

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, table
+from .common import free_names, sliced, table
 
 OTHER, STOP, INSULT, THREAT, TARGET, NEGATION, REPORT = range(7)
 # words known beforehand (fixed values)
@@ -262,7 +262,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, max_term
     scorer = Scorer(terms)
 
     def measure(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             found = [scorer.clauses(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "best": pa.array([b for b, _ in found], pa.float64()),
@@ -286,7 +286,7 @@ def with_score(docs: DataFrame, scorer: Scorer, out: str = "score") -> DataFrame
     schema = docs.withColumn(out, F.lit(0.0)).schema
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             scores = [scorer.score(t) for t in batch.column("text").to_pylist()]
             yield batch.append_column(out, pa.array(scores, pa.float64()))
 
