@@ -13,10 +13,11 @@ Documents are sets of 5-word shingles (64-bit hashes); two are linked if
    own shingles. Signatures of a pair are compared in batches of ``BATCH``
    minima; after each, the pair is dropped if its posterior chance to reach the
    limit is below ``MISS``. Survivors are verified on their full sets.
-5. Components of these links. Members of a bucket that are still in different
-   components and pass the bounds are paired as well, pruned and verified, so
-   no link between components is lost, yet the pairs inside a group of copies
-   are never listed. Buckets beyond ``BLOCK`` members are split over tasks.
+5. Components of these links. Candidates that hang together through buckets are
+   a group; where a group still has several components, its members are compared
+   across them in blocks of ``BLOCK``, pruned and verified in the task, which
+   returns only links that join two components. So no such link is lost, pairs
+   are never listed, and a group of any size is spread over tasks.
 
 A null doc_id counts as the smallest id. Null, empty and wordless texts have no
 shingle and no link. Repeated rows have equal ids and equal results. Empty
@@ -34,14 +35,14 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..operators.joins import balanced_join
-from .common import NO_ID, Tables, free_names, key_columns, table
+from .common import NO_ID, Tables, free_names, key_columns, sliced, table
 from .wordhash import batches, mix, rolling, stream, whole, word_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 30, 6
 BATCH = 30
 MISS = 1e-6
-BLOCK = 1000
+BLOCK = 400
 U64 = np.uint64
 
 
@@ -84,7 +85,7 @@ def _encoded(column) -> list[bytes]:
 
 def _sketch(rows):
     """Batches of ``(d, k, text)`` -> ``d, k, n, s1, s2, sig``; s1, s2 identify the set."""
-    for batch in rows:
+    for batch in sliced(rows):
         texts = _encoded(batch.column("text"))
         for lo, hi in batches(texts):
             g, first = shingle_sets(texts[lo:hi])
@@ -126,7 +127,7 @@ def _bands(rows):
 
 
 def _sets(rows):
-    for batch in rows:
+    for batch in sliced(rows):
         texts = _encoded(batch.column("text"))
         for lo, hi in batches(texts):
             g, first = shingle_sets(texts[lo:hi])
@@ -279,7 +280,7 @@ def near_duplicates(docs: DataFrame, tables: Tables, percent: int = 85) -> DataF
     )
     hubs = tables.store(hubs.selectExpr("key", "hub.node", "hub.n", "hub.sh"), "hubs")
     joined = balanced_join(
-        members, hubs.selectExpr("key", "struct(node, n, sh) AS hub"), ["key"], n_shared,
+        members.drop("m"), hubs.selectExpr("key", "struct(node, n, sh) AS hub"), ["key"], n_shared,
         broadcast_rows=50_000,
     )
     first = joined.select(F.struct("node", "n", "sh").alias("x"), "hub").where("x.node <> hub.node")
@@ -289,12 +290,12 @@ def near_duplicates(docs: DataFrame, tables: Tables, percent: int = 85) -> DataF
     tried = tables.store(first.distinct(), "pairs")
     found = links(tried)
 
-    members = tables.store(_labelled(members, found, tables), "labelled")
-    more = tables.store(
-        _across(members, percent).join(tried, ["a", "b"], "left_anti").distinct(), "more"
-    )
-    if not more.isEmpty():
-        found = tables.store(found.unionByName(links(more)), "all")
+    stars = joined.selectExpr("node AS a", "hub.node AS b").where("a <> b").distinct()
+    groups = _labels(tables.store(stars, "stars"), tables).withColumnRenamed("comp", "group")
+    apart = _apart(sizes, groups, _labels(found, tables), tables)
+    if not apart.isEmpty():
+        found = found.unionByName(_across(apart, nodes, sets, percent, links.n_sets))
+        found = tables.store(found, "all")
 
     labels = _labels(found, tables)
     placed = nodes.select("node", "d").join(labels, "node", "left")
@@ -325,27 +326,92 @@ class _Work:
         self.store = lambda df: tables.store(df, "graph")
 
 
-def _labelled(members: DataFrame, links: DataFrame, tables: Tables) -> DataFrame:
-    labels = _labels(links, tables)
-    out = balanced_join(members, labels, ["node"], labels.count(), "left")
-    return out.withColumn("comp", F.coalesce("comp", "node"))
-
-
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Possible pairs within a bucket but across components; large buckets in blocks."""
-    mixed = members.groupBy("key").agg(
+def _apart(sizes: DataFrame, groups: DataFrame, comps: DataFrame, tables: Tables) -> DataFrame:
+    """``(node, n, sh, comp, group, blocks)`` of the groups with several components."""
+    placed = sizes.join(groups, "node").join(comps, "node", "left")
+    placed = tables.store(placed.withColumn("comp", F.coalesce("comp", "node")), "placed")
+    mixed = placed.groupBy("group").agg(
         F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
-    ).where("lo < hi").selectExpr("key", f"CAST(ceil(m / {BLOCK}) AS int) AS blocks")
-    rows = members.drop("m").join(mixed, "key")
-    side = F.struct("node", "n", "sh", "comp")
-    x = rows.selectExpr("key", "CAST(pmod(xxhash64(node), blocks) AS int) AS block", "node", "n", "sh", "comp")
-    x = x.select("key", "block", side.alias("x"))
-    y = rows.select("key", F.expr("explode(sequence(0, blocks - 1)) AS block"), side.alias("y"))
-    on = (
-        (x["key"] == y["key"]) & (x["block"] == y["block"])
-        & F.expr("x.node < y.node AND x.comp <> y.comp AND " + _possible(percent, "x", "y"))
+    ).where("lo < hi").selectExpr("group", f"CAST(ceil(m / {BLOCK}) AS int) AS blocks")
+    mixed = tables.store(mixed, "mixed")
+    return tables.store(balanced_join(placed, mixed, ["group"], mixed.count()), "apart")
+
+
+def _across(apart: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, n_sets: int):
+    """Links between components of a group, from blocks of its members."""
+    full = balanced_join(apart, nodes.select("node", "sig"), ["node"], n_sets, broadcast_rows=0)
+    full = balanced_join(full, sets, ["node"], n_sets, broadcast_rows=0)
+    full = full.withColumn("block", F.expr("CAST(pmod(xxhash64(node), blocks) AS int)"))
+    columns = ["node", "n", "sh", "comp", "sig", "shingles"]
+    x = full.select("group", F.col("block").alias("i"), F.expr("explode(sequence(block, blocks - 1)) AS j"), *columns)
+    y = full.select(
+        F.col("group").alias("y_group"), F.expr("explode(sequence(0, block)) AS y_i"),
+        F.col("block").alias("y_j"),
+        *[F.col(c).alias(f"y_{c}") for c in columns],
     )
-    return x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    needed = least_matches(percent)
+
+    def links(key, x, y):
+        a, b = _compare(x, y.rename_columns(x.column_names), key[1] == key[2], percent, needed)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    left, right = x.groupBy("group", "i", "j"), y.groupBy("y_group", "y_i", "y_j")
+    return left.cogroup(right).applyInArrow(links, "a long, b long")
+
+
+def _compare(x: pa.Table, y: pa.Table, same: bool, percent: int, needed) -> tuple[list, list]:
+    """Pairs of linked nodes of two blocks that join components not yet joined here."""
+    if not x.num_rows or not y.num_rows:
+        return [], []
+
+    def numbers(t, c):
+        return t[c].to_numpy()
+
+    def sigs(t):
+        return np.frombuffer(b"".join(t["sig"].to_pylist()), "<u4").reshape(t.num_rows, -1)
+
+    xs, ys = numbers(x, "sh"), numbers(y, "sh")
+    xn, yn, xc, yc = numbers(x, "n"), numbers(y, "n"), numbers(x, "comp"), numbers(y, "comp")
+    xv, yv, a_sig, b_sig = numbers(x, "node"), numbers(y, "node"), sigs(x), sigs(y)
+    pairs, weights = [], []
+    for i in range(x.num_rows):
+        both = np.minimum(xs[i], ys)
+        open_ = (xc[i] != yc) & (100 * both >= percent * (xn[i] + yn - both))
+        if same:
+            open_ &= xv[i] < yv
+        left = np.flatnonzero(open_)
+        matched, done = np.zeros(len(left), np.int64), 0
+        for n, least in needed:
+            if not len(left):
+                break
+            matched = matched + (b_sig[left, done:n] == a_sig[i, done:n]).sum(axis=1)
+            keep = matched >= least
+            left, matched, done = left[keep], matched[keep], n
+        pairs += [(i, j) for j in left.tolist()]
+        weights += matched.tolist()
+    parent: dict[int, int] = {}
+
+    def find(c):
+        while parent.get(c, c) != c:
+            parent[c] = parent.get(parent[c], parent[c])
+            c = parent[c]
+        return c
+
+    a_sets = [np.frombuffer(s, "<u8") for s in x["shingles"].to_pylist()]
+    b_sets = [np.frombuffer(s, "<u8") for s in y["shingles"].to_pylist()]
+    out = [], []
+    for at in np.argsort(-np.array(weights, np.int64), kind="stable").tolist():  # likely links first
+        i, j = pairs[at]
+        p, q = find(int(xc[i])), find(int(yc[j]))
+        if p == q:
+            continue
+        s, t = a_sets[i], b_sets[j]
+        both = int((s[np.minimum(np.searchsorted(s, t), len(s) - 1)] == t).sum())
+        if 100 * both >= percent * (len(s) + len(t) - both):
+            parent[max(p, q)] = min(p, q)
+            out[0].append(int(xv[i]))
+            out[1].append(int(yv[j]))
+    return out
 
 
 def op4(spark, sf_dir) -> DataFrame:
