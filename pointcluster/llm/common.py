@@ -24,6 +24,8 @@ NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NON_WORD_CHARS = "".join(map(chr, (*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80))))
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 NO_ID = -(2**63)
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 500
 
 _own_root: list[str] = []
 
@@ -74,8 +76,15 @@ class Tables:
         return f"{self.root}/{self.n}-{name}"
 
     def store(self, df: DataFrame, name: str = "table") -> DataFrame:
-        path = self.path(name)
-        df.write.parquet(path)
+        """``df`` written and read back. Rows here can be whole texts and sets, so tasks
+        get fewer of them per Arrow batch than the session's default."""
+        path, conf = self.path(name), self.spark.conf
+        before = conf.get(ARROW_ROWS)
+        conf.set(ARROW_ROWS, str(BATCH_ROWS))
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.set(ARROW_ROWS, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
@@ -124,19 +133,16 @@ def keyed(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(*key_columns(), *more)
 
 
-def keep_rows(docs: DataFrame, decisions: DataFrame, test: str, more: dict | None = None):
-    """Rows of ``docs``, all columns kept, whose decision row passes ``test``.
-
-    ``decisions`` holds ``_d, _k`` and the columns of ``test``, one row a key.
-    ``more`` replaces columns by expressions over the decision's columns.
-    """
-    names = {c: n for c, n in zip(decisions.columns, free_names(docs, *decisions.columns))}
-    chosen = decisions.where(test).select(*[F.col(c).alias(n) for c, n in names.items()])
-    d, k = names["_d"], names["_k"]
-    left = docs.select("*", *[c.alias(f"{n}_l") for c, n in zip(key_columns(), (d, k))])
-    joined = left.join(chosen, (F.col(f"{d}_l") == F.col(d)) & (F.col(f"{k}_l") == F.col(k)))
-    more = {c: e(names) for c, e in (more or {}).items()}
-    return joined.select(*[more[c].alias(c) if c in more else F.col(f"`{c}`") for c in docs.columns])
+def join_by_key(docs: DataFrame, found: DataFrame, how: str) -> tuple[DataFrame, dict]:
+    """``docs`` joined with ``found (_d, _k, ...)`` by row key, under names that ``docs``
+    does not have; returns the frame and the new name of each column of ``found``."""
+    own = free_names(docs, "_d", "_k", *[f"_r{c}" for c in found.columns])
+    d, k = key_columns()
+    left = docs.select("*", d.alias(own[0]), k.alias(own[1]))
+    names = dict(zip(found.columns, own[2:]))
+    right = found.select(*[F.col(c).alias(n) for c, n in names.items()])
+    on = (F.col(own[0]) == F.col(names["_d"])) & (F.col(own[1]) == F.col(names["_k"]))
+    return left.join(right, on, how).drop(own[0], own[1]), names
 
 
 def words(text: Column, pattern: str = SPACES, chars: str = SPACE_CHARS) -> Column:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointcluster.llm import chat, decontaminate, linededup, quality
-from pointcluster.llm.common import Tables
+from pointcluster.llm.common import NO_ID, Tables
 
 TEXTS = [
     (1, "a b c a b c d " * 20),
@@ -133,24 +133,28 @@ def test_decontamination(spark, docs):
                     if w[p : p + len(g)] == g:
                         hit.update(range(p, p + len(g)))
                         found.add(str(item["item_id"]))
-        want.append((i, len(hit), ",".join(sorted(found))))
+        want.append((i, len(w), len(hit), ",".join(sorted(found))))
     tables = Tables(spark)
-    found = {
-        (r["_d"], r["_k"]): (r["n_hit"], ",".join(r["item_ids"]))
-        for r in decontaminate.decontaminate(docs, items, tables).collect()
-    }
-    keys = docs.select("doc_id", *decontaminate.key_columns()).collect()
-    got = [(r["doc_id"], *found.get((r["_d"], r["_k"]), (0, ""))) for r in keys]
-    assert sorted(got, key=repr) == sorted(want, key=repr)
-    assert decontaminate.decontaminate(docs, items.limit(0), tables).count() == 0
-    assert decontaminate.decontaminate(docs.limit(0), items, tables).count() == 0
-    small = decontaminate.BROADCAST_BYTES
+
+    def run(docs, items):
+        rows = decontaminate.decontaminate(docs, items, tables).collect()
+        return sorted(
+            [
+                (None if r["_d"] == NO_ID else r["_d"], r["n"], r["n_hit"] or 0, ",".join(r["item_ids"] or []))
+                for r in rows
+            ],
+            key=repr,
+        )
+
+    assert run(docs, items) == sorted(want, key=repr)
+    assert [r[2:] for r in run(docs, items.limit(0))] == [(0, "")] * len(TEXTS)
+    assert run(docs.limit(0), items) == []
+    whole = decontaminate.BROADCAST_BYTES
     try:
-        decontaminate.BROADCAST_BYTES = 0
-        again = decontaminate.decontaminate(docs, items, tables)
-        assert {(r["_d"], r["_k"]): (r["n_hit"], ",".join(r["item_ids"])) for r in again.collect()} == found
+        decontaminate.BROADCAST_BYTES = 64  # several blocks
+        assert run(docs, items) == sorted(want, key=repr)
     finally:
-        decontaminate.BROADCAST_BYTES = small
+        decontaminate.BROADCAST_BYTES = whole
     tables.close()
 
 
@@ -172,3 +176,21 @@ def test_line_templates(spark):
     assert got[200] == "All rights reserved" and got[201] is None and got[202] == ""
     assert linededup.dedup_lines(docs.limit(0), tables).count() == 0
     tables.close()
+
+
+def test_stages_keep_all_columns(spark):
+    """Columns named like the stages' own come back as they were."""
+    import corpus_pipeline
+
+    names = ["_d", "_k", "_r_d", "_r_k", "_l", "_rest", "_cut", "_lines", "_dropped", "score", "drop"]
+    base = [(i, f"Some words of document {i} " * 30 + f"\nown line {i}\nAll rights reserved") for i in range(25)]
+    base += [(25, None), (26, ""), (3, base[3][1]), (40, base[5][1])]
+    docs = spark.createDataFrame(base, "doc_id long, text string")
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        for row in out.collect():
+            assert all(row[n] == f"{n}{row['doc_id']}" for n in names), name
+    kept = corpus_pipeline.STAGES[2][1](spark, docs, None).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in kept} == {i: 1 for i in range(27)}
