@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators.joins import balanced_join
-from .common import SPACE_CHARS, SPACES, Tables, words
+from .common import SPACE_CHARS, Tables, words
 
 SYMBOLS = "#*$%&|<>"
 # (measure, least quartile distance, whether low values are judged as well)
