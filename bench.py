@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR picks the tables (default sf0.1), BENCH_CPUS the local cores.
 Inputs are the events table as trips (100,000 rows at sf0.1). Each entry is the
-wall time of the whole query with its result collected or counted.
+wall time of the whole query with its result collected or counted. With
+BENCH_GROWTH=1,3,10 it prints seconds over 1, 3 and 10 copies of the table instead.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pointcluster import (  # noqa: E402
     assign_nearest,
+    connected_components,
     dbscan,
     elkan_kmeans,
     eps_neighbors,
     kmeans,
+    seeded_sample,
     silhouette_euclid,
     silhouette_sq,
 )
@@ -58,8 +61,55 @@ def history(run) -> dict:
     }
 
 
+def grown(points, times: int, crowded: bool):
+    """``times`` copies of the points under new ids, moved by a small fixed jitter; crowded:
+    a third of all points drawn into one spot of a ten-thousandth of the range."""
+    jitter = [f"(pmod(xxhash64(id, copy, {i}), 2000) / 1000 - 1) / 100" for i in range(2)]
+    spread = points.selectExpr("id", "features", f"explode(sequence(0L, {times} - 1L)) AS copy")
+    x = [f"features[{i}] + {j}" for i, j in enumerate(jitter)]
+    if crowded:
+        x = [f"IF(id % 3 = 0, 0.5D + {j} / 100, {v})" for v, j in zip(x, jitter)]
+    made = spread.selectExpr("id * 1000 + copy AS id", f"array({x[0]}, {x[1]}) AS features")
+    return made.withMetadata("features", {"dimension": 2})
+
+
+def growth(spark) -> dict:
+    """Seconds by number of points (BENCH_GROWTH: copies of the table, comma-separated)."""
+    points = queries.trip_points(spark, SF_DIR)
+    n, out = points.count(), {}
+    for times in map(int, os.environ["BENCH_GROWTH"].split(",")):
+        for crowded in (False, True):
+            held = grown(points, times, crowded).repartition(2 * int(CPUS)).persist()
+            held.count()
+            # the radius shrinks with the density, so that the pairs grow with the points
+            eps = 0.002 / times**0.5
+            work = {
+                "lloyd_k11_10_rounds": lambda: kmeans(held, 11, 10, 0.0),
+                "sample_half": lambda: seeded_sample(held, n * times // 2).count(),
+                "dbscan_min10": lambda: dbscan(held, eps * 3, 10).count(),
+            }
+            if not crowded:  # a third of all points as one clique has no bounded pair list
+                work["eps_neighbors"] = lambda: eps_neighbors(held, eps).count()
+                work["components"] = lambda: connected_components(
+                    eps_neighbors(held, eps / 2).where("id < neighbor_id").selectExpr(
+                        "id AS src", "neighbor_id AS dst")).labels.count()
+            for name, run in work.items():
+                started = time.perf_counter()
+                run()
+                seconds = round(time.perf_counter() - started, 2)
+                key = f"{name}{'_crowded' if crowded else ''}"
+                out.setdefault(key, {})[str(n * times)] = seconds
+                print(key, n * times, seconds, file=sys.stderr, flush=True)
+            held.unpersist()
+    return out
+
+
 def main() -> None:
     spark = session()
+    if os.environ.get("BENCH_GROWTH"):
+        print(json.dumps({"metric": "growth_seconds", "growth": growth(spark), "cpus": CPUS}))
+        spark.stop()
+        return
     seconds: dict[str, float] = {}
     detail: dict[str, dict] = {}
 
