@@ -30,11 +30,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sliced, table
+from .common import released, sliced, table
 
 NONE = np.int32(2**31 - 1)
-CACHE_PIECES = 300_000
-QUEUE_BYTES = 4 << 20
+CACHE_PIECES = 150_000
+QUEUE_BYTES = 1 << 20
 FEW = 16  # up to so many merges are applied one by one
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -266,6 +266,10 @@ class Codec:
             lo = hi
         return out
 
+    def forget(self) -> None:
+        """Empty the cache: a worker outlives its task."""
+        self.new, self.old = {}, {}
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -299,8 +303,30 @@ class Tokenizer:
             for batch in sliced(batches, 1000):
                 texts = [t or "" for t in batch.column(text).to_pylist()]
                 yield batch.append_column(ids, pa.array(codec.encode(texts), pa.binary()))
+            codec.forget()
+
+        return docs.mapInArrow(released(run), schema)
+
+    def round_trip(self, docs: DataFrame) -> DataFrame:
+        """``doc_id, ids, decoded`` in one pass of one worker: the ids of ``text``, and the
+        bytes those ids stand for."""
+        file, pattern = self.file, self.pattern
 
-        return docs.mapInArrow(run, schema)
+        def run(batches):
+            codec = _codec(file.value, pattern)
+            for batch in sliced(batches, 1000):
+                ids = codec.encode([t or "" for t in batch.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id"), pa.array(ids, pa.binary()),
+                        pa.array([codec.decode(i) for i in ids], pa.binary()),
+                    ],
+                    names=["doc_id", "ids", "decoded"],
+                )
+            codec.forget()
+
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        return rows.mapInArrow(released(run), "doc_id long, ids binary, decoded binary")
 
     def decode(self, docs: DataFrame, ids: str = "ids", out: str = "decoded") -> DataFrame:
         """``docs`` with ``out``: the bytes that ``ids`` stand for; null gives none."""
@@ -313,7 +339,7 @@ class Tokenizer:
                 found = [codec.decode(i or b"") for i in batch.column(ids).to_pylist()]
                 yield batch.append_column(out, pa.array(found, pa.binary()))
 
-        return docs.mapInArrow(run, schema)
+        return docs.mapInArrow(released(run), schema)
 
 
 def default_tokenizer(spark: SparkSession) -> Tokenizer:
@@ -324,8 +350,7 @@ def default_tokenizer(spark: SparkSession) -> Tokenizer:
 
 
 def digests(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    encoded = tokenizer.encode(docs.select("doc_id", "text")).drop("text")
-    return tokenizer.decode(encoded).select(
+    return tokenizer.round_trip(docs).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -10,6 +10,9 @@ treated alike and each keeps its own row in the result.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -107,6 +110,28 @@ def sliced(batches, rows: int = 500):
             yield batch.slice(lo, rows)
 
 
+def _give_back() -> None:
+    """Freed memory returns to the system: Python workers outlive their tasks."""
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def released(work):
+    """``work`` on the batches of a task, then nothing of it stays in the worker."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
 def free_names(df: DataFrame, *bases: str) -> list[str]:
     """Column names that ``df`` does not have yet, in any case of letters."""
     taken = {c.lower() for c in df.columns}

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..operators.joins import balanced_join
-from .common import NO_ID, Tables, free_names, key_columns, sliced, table
+from .common import NO_ID, Tables, free_names, join_by_key, key_columns, released, sliced, table
 from .wordhash import batches, mix, rolling, stream, whole, word_hashes
 
 SHINGLE = 5
@@ -171,7 +171,7 @@ def _prune(percent: int):
     needed = least_matches(percent)
 
     def run(rows):
-        for batch in rows:
+        for batch in sliced(rows):
             if not batch.num_rows:
                 continue
             a, b = (
@@ -193,7 +193,7 @@ def _verify(percent: int):
     """Batches of pairs with both sets -> the pairs that are linked."""
 
     def run(rows):
-        for batch in rows:
+        for batch in sliced(rows, 100):
             good = []
             for i, (x, y) in enumerate(zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
@@ -225,10 +225,10 @@ class _Links:
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """``pairs (a, b)``, stored -> the linked ones, stored."""
         signed = self._with(pairs, self.nodes, "sig", ("sig_a", "sig_b"))
-        likely = signed.mapInArrow(_prune(self.percent), "a long, b long")
+        likely = signed.mapInArrow(released(_prune(self.percent)), "a long, b long")
         likely = self.tables.store(likely, "likely")
         full = self._with(likely, self.sets, "shingles", ("set_a", "set_b"))
-        linked = full.mapInArrow(_verify(self.percent), "a long, b long")
+        linked = full.mapInArrow(released(_verify(self.percent)), "a long, b long")
         return self.tables.store(linked, "links")
 
 
@@ -242,7 +242,7 @@ def near_duplicates(docs: DataFrame, tables: Tables, percent: int = 85) -> DataF
     """``docs (doc_id, text)`` -> ``_d, _k, n_shingles, component`` per distinct key."""
     d, k = key_columns()
     texts = docs.select(d.alias("d"), k.alias("k"), F.col("text").cast("string").alias("text"))
-    rows = texts.mapInArrow(_sketch, "d long, k long, n long, node long, s2 long, sig binary")
+    rows = texts.mapInArrow(released(_sketch), "d long, k long, n long, node long, s2 long, sig binary")
     rows = tables.store(rows, "sketches")
     nodes = (
         rows.where("n > 0").groupBy("node", "s2")
@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, tables: Tables, percent: int = 85) -> DataF
     )
     nodes = tables.store(nodes, "nodes")
 
-    bands = tables.store(nodes.select("node", "sig").mapInArrow(_bands, "key long, node long"), "bands")
+    bands = tables.store(nodes.select("node", "sig").mapInArrow(released(_bands), "key long, node long"), "bands")
     shared = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     shared = tables.store(shared, "buckets")
     n_shared = shared.count()
@@ -261,11 +261,11 @@ def near_duplicates(docs: DataFrame, tables: Tables, percent: int = 85) -> DataF
     n_known = known.count()
     wanted = balanced_join(texts, known.select("d", "k", "node"), ["d", "k"], n_known)
     sets = tables.store(
-        wanted.dropDuplicates(["node"]).select("node", "text").mapInArrow(_sets, "node long, shingles binary"), "sets"
+        wanted.dropDuplicates(["node"]).select("node", "text").mapInArrow(released(_sets), "node long, shingles binary"), "sets"
     )
 
     # sh: the shingles of a node that some other candidate has as well
-    own = sets.mapInArrow(_exploded, "h long, node long").groupBy("h").agg(
+    own = sets.mapInArrow(released(_exploded), "h long, node long").groupBy("h").agg(
         F.count("*").alias("c"), F.min("node").alias("node")
     ).where("c = 1").groupBy("node").agg(F.count("*").alias("own"))
     sizes = known.join(own, "node", "left").selectExpr("node", "n", "n - coalesce(own, 0L) AS sh")
@@ -431,11 +431,9 @@ def drop_near_duplicates(spark, docs, sf_dir) -> DataFrame:
     found = near_duplicates(docs, tables).select("_d", "_k", "component")
     found = tables.store(found.where("_d = component"), "kept")
     twice = found.groupBy("_d").agg(F.count("*").alias("c")).where("c > 1")
-    dn, kn = free_names(docs, "_d", "_k")
-    d, k = key_columns()
-    kept = found.select(F.col("_d").alias("_x"), F.col("_k").alias("_y")).distinct()
-    rows = docs.select("*", d.alias(dn), k.alias(kn))
-    rows = rows.join(kept, (F.col(dn) == F.col("_x")) & (F.col(kn) == F.col("_y")), "left_semi")
+    kept = found.select("_d", "_k").distinct()
+    rows, _ = join_by_key(docs, kept, "left_semi")
     if not twice.isEmpty():  # rows that repeat an id: one of them stays
-        rows = rows.dropDuplicates([dn])
-    return rows.drop(dn, kn)
+        (name,) = free_names(docs, "_d")
+        rows = rows.withColumn(name, key_columns()[0]).dropDuplicates([name]).drop(name)
+    return rows

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sliced, table
+from .common import released, sliced, table
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
@@ -299,7 +299,7 @@ def train(docs: DataFrame, train_islands: int = 1500) -> Field:
             yield pa.RecordBatch.from_pydict({"piece": pa.array(pieces, pa.string())})
 
     # distinct pieces of at most 400 characters; train_islands bounds what the driver gets
-    pieces = sample.mapInArrow(cut, "piece string").distinct()
+    pieces = sample.mapInArrow(released(cut), "piece string").distinct()
     rows = pieces.orderBy(F.xxhash64("piece"), "piece").limit(train_islands).collect()
     field = Field()
     field.learn([example(r["piece"], run) for r in rows for run in islands(r["piece"])])
@@ -344,7 +344,7 @@ def with_spans(docs: DataFrame, field: Field) -> DataFrame:
 
     kind = "array<struct<start:bigint,end:bigint,kind:string>>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, f"doc_id long, base {kind}, added {kind}"
+        released(run), f"doc_id long, base {kind}, added {kind}"
     )
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, sliced, table
+from .common import free_names, released, sliced, table
 
 OTHER, STOP, INSULT, THREAT, TARGET, NEGATION, REPORT = range(7)
 # words known beforehand (fixed values)
@@ -46,7 +46,7 @@ PREFIXES = (4, 5, 6)
 CLAUSE_END = ".!?;:"
 REACH = 3  # tokens over which negation and targets work
 BASE = (-4.0, 1.5, 1.0)  # curve without training: bias, best clause, number of clauses
-MEMO = 300_000
+MEMO = 100_000
 EVIDENCE = 18.0  # nats by which a term's count must beat chance; about log(terms) + 4
 
 
@@ -272,7 +272,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, max_term
             })
 
     # at most train_rows rows of three numbers; equal ones are summed up first
-    seen = rows.mapInArrow(measure, "best double, matched long, toxic long, n long")
+    seen = rows.mapInArrow(released(measure), "best double, matched long, toxic long, n long")
     data = seen.groupBy("best", "matched", "toxic").agg(F.sum("n").alias("n")).collect()
     y = np.repeat([r["toxic"] for r in data], [r["n"] for r in data]).astype(float)
     if len(y) and 0 < y.sum() < len(y):
@@ -290,7 +290,7 @@ def with_score(docs: DataFrame, scorer: Scorer, out: str = "score") -> DataFrame
             scores = [scorer.score(t) for t in batch.column("text").to_pylist()]
             yield batch.append_column(out, pa.array(scores, pa.float64()))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def op8(spark, sf_dir) -> DataFrame:

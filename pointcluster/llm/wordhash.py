@@ -66,7 +66,7 @@ def word_hashes(texts: list[bytes], seeds=(0,)):
     return out, first
 
 
-def batches(texts: list[bytes], limit: int = 2 << 20):
+def batches(texts: list[bytes], limit: int = 512 << 10):
     """Index ranges of ``texts`` of about ``limit`` bytes each; a long text stands alone."""
     lo = size = 0
     for i, t in enumerate(texts):
