@@ -178,6 +178,36 @@ def test_line_templates(spark):
     tables.close()
 
 
+def letters(i):
+    """A word of its own for every number, without digits."""
+    return "".join(chr(97 + int(c)) for c in f"{i:07d}")
+
+
+def deduped(spark, texts, **rules):
+    tables = Tables(spark)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = linededup.dedup_lines(docs, tables, **rules).collect()
+    tables.close()
+    return [r["text"] for r in sorted(out, key=lambda r: r["doc_id"])]
+
+
+def test_recurring_lines_with_fixed_neighbours(spark):
+    block = "Home page here\nAbout this site\nContact the owner\nTerms of use"
+    own = [f"{letters(i)} first own line\n{letters(i + 50)} second of them" for i in range(12)]
+    texts = [f"{block}\n{x}\n\nBetween two blanks\n\n{x[::-1]}\n\nLast after blank" for x in own]
+    # edited copies of one text stay copies
+    lines = [f"{letters(900 + j)} line of a copied text" for j in range(10)]
+    copies = []
+    for i in range(30):
+        part = list(lines)
+        part[i % 10] = f"{letters(2000 + i)} edited in this copy"
+        copies.append("\n".join(part))
+    got = deduped(spark, texts + copies)
+    assert got[:12] == [f"{x}\n\n\n{x[::-1]}\n" for x in own]
+    assert got[12:] == copies
+
+
 def test_stages_keep_all_columns(spark):
     """Columns named like the stages' own come back as they were."""
     import corpus_pipeline
