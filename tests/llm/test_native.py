@@ -208,6 +208,22 @@ def test_recurring_lines_with_fixed_neighbours(spark):
     assert got[12:] == copies
 
 
+@pytest.mark.parametrize("n", [1_000, 100_000])
+def test_fields_stay_fields_in_large_inputs(spark, n):
+    """Two fields of 1,000 values each, beside a template of its own in the same leaf."""
+    tables = Tables(spark)
+    word = "translate(lpad(CAST({} % 1000 AS string), 3, '0'), '0123456789', 'abcdefghij')"
+    docs = spark.range(n, numPartitions=4).selectExpr(
+        "id AS doc_id",
+        f"concat('the user named with ', {word.format('id')}, ' came in from the place of ', "
+        f"{word.format('(id * 7 + id div 1000)')}, ' this very day now\\nown ', "
+        "translate(CAST(id AS string), '0123456789', 'abcdefghij')) AS text",
+    )
+    out = linededup.dedup_lines(docs, tables)
+    assert out.where("_dropped = 1 AND text RLIKE '^own [a-j]+$'").count() == n
+    tables.close()
+
+
 def test_stages_keep_all_columns(spark):
     """Columns named like the stages' own come back as they were."""
     import corpus_pipeline
