@@ -224,6 +224,14 @@ def test_fields_stay_fields_in_large_inputs(spark, n):
     tables.close()
 
 
+def test_long_lines_and_short_ones_with_fields(spark):
+    notice = " ".join(f"legal{chr(97 + i % 26)}" for i in range(40))
+    own = [f"{letters(i)} only here\n{letters(i + 50)} nor there {letters(i)} again" for i in range(12)]
+    texts = [f"{x}\n{notice} {1990 + i}\npage was sent by {letters(i + 100)} to {letters(i + 200)} at night"
+             f"\nwe are in {letters(i + 300)}" for i, x in enumerate(own)]
+    assert deduped(spark, texts) == own
+
+
 def test_stages_keep_all_columns(spark):
     """Columns named like the stages' own come back as they were."""
     import corpus_pipeline
