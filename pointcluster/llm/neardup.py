@@ -239,7 +239,8 @@ def _possible(percent: int, x: str, y: str) -> str:
 
 
 def near_duplicates(docs: DataFrame, tables: Tables, percent: int = 85) -> DataFrame:
-    """``docs (doc_id, text)`` -> ``_d, _k, n_shingles, component`` per distinct key."""
+    """``docs (doc_id, text)`` -> ``_d, _k, n_shingles, component, comp`` per row; ``comp`` tells
+    components apart whose least ids are equal or null, and is null for wordless texts."""
     d, k = key_columns()
     texts = docs.select(d.alias("d"), k.alias("k"), F.col("text").cast("string").alias("text"))
     rows = texts.mapInArrow(released(_sketch), "d long, k long, n long, node long, s2 long, sig binary")
@@ -301,13 +302,13 @@ def near_duplicates(docs: DataFrame, tables: Tables, percent: int = 85) -> DataF
     placed = nodes.select("node", "d").join(labels, "node", "left")
     placed = placed.select("node", "d", F.coalesce("comp", "node").alias("comp"))
     least = placed.groupBy("comp").agg(F.min("d").alias("component"))
-    placed = tables.store(placed.join(least, "comp").select("node", "component"), "components")
+    placed = tables.store(placed.join(least, "comp").select("node", "component", "comp"), "components")
     keys = rows.select("d", "k", "n", "node")
     with_words = balanced_join(keys.where("n > 0"), placed, ["node"], placed.count())
-    out = with_words.select("d", "k", "n", "component").unionByName(
-        keys.where("n = 0").select("d", "k", "n", F.col("d").alias("component"))
+    out = with_words.select("d", "k", "n", "component", "comp").unionByName(
+        keys.where("n = 0").selectExpr("d", "k", "n", "d AS component", "CAST(NULL AS bigint) AS comp")
     )
-    return out.selectExpr("d AS _d", "k AS _k", "n AS n_shingles", "component")
+    return out.selectExpr("d AS _d", "k AS _k", "n AS n_shingles", "component", "comp")
 
 
 def _labels(links: DataFrame, tables: Tables) -> DataFrame:
@@ -426,14 +427,18 @@ def op4(spark, sf_dir) -> DataFrame:
 
 
 def drop_near_duplicates(spark, docs, sf_dir) -> DataFrame:
-    """Pipeline stage: of each group the document of smallest id stays, once."""
+    """Pipeline stage: of each group one document of the smallest id stays, and of equal
+    wordless rows one."""
     tables = Tables(spark)
-    found = near_duplicates(docs, tables).select("_d", "_k", "component")
-    found = tables.store(found.where("_d = component"), "kept")
-    twice = found.groupBy("_d").agg(F.count("*").alias("c")).where("c > 1")
-    kept = found.select("_d", "_k").distinct()
+    found = near_duplicates(docs, tables).where("_d = component").select("_d", "_k", "comp")
+    found = tables.store(found, "kept")
+    one = found.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct("_d", "_k")).alias("x"))
+    kept = one.select("x._d", "x._k").unionByName(
+        found.where("comp IS NULL").select("_d", "_k").distinct()
+    )
+    kept = tables.store(kept, "kept_keys")
     rows, _ = join_by_key(docs, kept, "left_semi")
-    if not twice.isEmpty():  # rows that repeat an id: one of them stays
-        (name,) = free_names(docs, "_d")
-        rows = rows.withColumn(name, key_columns()[0]).dropDuplicates([name]).drop(name)
+    if not found.groupBy("_d", "_k").agg(F.count("*").alias("c")).where("c > 1").isEmpty():
+        names = free_names(docs, "_d", "_k")  # equal rows: one of them stays
+        rows = rows.withColumns(dict(zip(names, key_columns()))).dropDuplicates(names).drop(*names)
     return rows

@@ -136,6 +136,17 @@ def test_near_duplicates(spark, tables):
     assert sorted(got) == sorted(set(want)) and kept.columns == frame(spark, rows).columns
 
 
+def test_one_row_stays_per_component(spark):
+    """Unrelated texts without an id, or under one id, and wordless rows all stay."""
+    texts = ["alone without any id at all", "another one of no id here", "a third one without its id"]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (None, ""), (None, " "), (None, None)]
+    rows += [(7, "first text under this id seven"), (7, "wholly other words but same number"), (7, "")]
+    rows += [(8, "first text under this id seven"), (7, "first text under this id seven")]
+    kept = neardup.drop_near_duplicates(spark, frame(spark, rows), None)
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(got, key=repr) == sorted(set(rows) - {(8, rows[7][1])}, key=repr)
+
+
 def test_near_duplicates_in_chains(spark, tables, monkeypatch):
     """Each text is near the next only, hubs do not reach far; blocks of two members."""
     monkeypatch.setattr(neardup, "BLOCK", 2)
