@@ -6,7 +6,8 @@ before) instead of single tokens, and dynamic programming over segments of at
 most ``MAX_TOKENS`` white-space tokens chooses boundaries and types jointly.
 Added spans never touch a base span.
 
-Only tokens with a digit or an @ and their neighbours can be in a segment, so
+Only tokens with a digit or an @, values assigned to a secret's name (without a digit:
+quoted, after "=" or of 16 or more characters) and their neighbours can be in a segment, so
 the text falls into islands; between them the best path is all "other" and the
 program need not run. The field is trained on at most ``train_islands`` islands
 of a hash sample of documents, with the patterns and the assignment of a quoted
@@ -44,7 +45,9 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 TRIGGER = re.compile(r"[0-9@]")
 DIGIT = re.compile(r"[0-9]")
 SECRET_NAMES = "token key secret password passwd pwd api_key apikey auth"  # fixed values
-SECRET = re.compile(r"(?:" + "|".join(SECRET_NAMES.split()) + r")\s{0,3}[=:]\s{0,3}$", re.I)
+ASSIGNED = r"(?:" + "|".join(SECRET_NAMES.split()) + r")\s{0,3}[=:]\s{0,3}"
+SECRET = re.compile(ASSIGNED + "$", re.I)
+START = re.compile(r"[0-9@]|" + ASSIGNED + r"(?=\S)", re.I)
 MAX_TOKENS = 4
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 LEFT_TRIM = "\"'([{<*#$%&|!.,;:=>)]}-"
@@ -99,14 +102,14 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def islands(text: str):
-    """Runs of ``(start, end)`` tokens around the tokens with a digit or an @; a run takes
-    in up to two tokens before each such token."""
+    """Runs of ``(start, end)`` tokens around the tokens with a digit or an @ and the values
+    of a secret's name; a run takes in up to two tokens before each such token."""
     run: list[tuple[int, int]] = []
     last = 0  # end of the tokens already looked at
-    for m in TRIGGER.finditer(text):
-        if m.start() < last:
+    for m in START.finditer(text):
+        lo = m.start() if m.end() - m.start() == 1 else m.end()
+        if lo < last:
             continue
-        lo = m.start()
         while lo > last and not text[lo - 1].isspace():
             lo -= 1
         hi = m.end()
@@ -143,9 +146,12 @@ def trimmed(text: str, lo: int, hi: int) -> tuple[int, int]:
 def features(text: str, lo: int, hi: int, before: str, tokens: int) -> list[str]:
     """Whole-span features of the segment ``text[lo:hi]``."""
     s = text[lo:hi]
-    if len(s) > 80:
-        return ["long"]
     digits = DIGIT.findall(s)
+    if len(s) > 80:
+        return [
+            f"long={min(len(s).bit_length(), 14)}", f"share={10 * len(digits) // len(s)}",
+            f"tokens={tokens}", f"before={before}", f"long before={before}",
+        ]
     shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", "9", s))
     mixed = len(re.findall(r"[0-9][A-Za-z]|[A-Za-z][0-9]", s))
     out = [
@@ -172,14 +178,20 @@ def lattice(text: str, run: list[tuple[int, int]]):
     out = []
     for i in range(len(run)):
         gap = text[max(0, run[i][0] - 24) : run[i][0]]
-        before = "secret" if SECRET.search(gap) else "word" if gap.strip() else "none"
+        named = SECRET.search(gap)
+        other = "word" if gap.strip() else "none"
         for j in range(i + 1, min(i + MAX_TOKENS, len(run)) + 1):
             lo, hi = trimmed(text, run[i][0], run[j - 1][1])
             if hi - lo < 5 or lo >= run[i][1] or hi <= run[j - 1][0]:
                 continue
             if text.find("\n", lo, hi) >= 0:
                 break
-            if TRIGGER.search(text, lo, hi):
+            digit = TRIGGER.search(text, lo, hi)
+            plain = named and (
+                "=" in named[0] or hi - lo >= 16 or text[lo - 1 : lo] in ("'", '"', "`")
+            )
+            if digit or plain and j == i + 1:
+                before = "secret" if named and (digit or plain) else other
                 out.append((i, j, lo, hi, features(text, lo, hi, before, j - i)))
     return out
 
@@ -283,7 +295,7 @@ def example(text: str, run) -> tuple:
 
 def train(docs: DataFrame, train_islands: int = 1500) -> Field:
     """A field trained on at most ``train_islands`` islands of a hash sample."""
-    marked = docs.select("text").where("text RLIKE '[0-9@]'")
+    marked = docs.select("text").where(F.col("text").rlike("(?i)" + START.pattern))
     n = marked.count()
     share = min(1.0, 2.0 * train_islands / max(n, 1))
     sample = marked.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
@@ -308,7 +320,7 @@ def train(docs: DataFrame, train_islands: int = 1500) -> Field:
 
 def find_spans(text: str | None, field: Field) -> tuple[list, list]:
     """``(base, added)`` spans of a text, each ``(start, end, kind)``."""
-    if not text or not TRIGGER.search(text):
+    if not text or not START.search(text):
         return [], []
     base, added = base_spans(text), []
     starts, ends = [], []  # the union of the base spans

@@ -347,6 +347,25 @@ def test_field_learns_and_adds(spark, tables):
     assert pii.find_spans("call 12345 or a 77", nothing) == ([], [])
 
 
+def test_long_secrets_and_secrets_without_digits(spark):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def text(i):
+        long = "".join(rng.choice(letters + "0123456789._-") for _ in range(rng.randint(90, 400)))
+        plain = "".join(rng.choice(letters) for _ in range(24))
+        value = "x" + [long, plain][i % 2] + "x"
+        return f"Some words before. set {['token =', 'secret:'][i // 2 % 2]} {value} and after.", value
+
+    made = [text(i) for i in range(200)]
+    rows = [(i, t) for i, (t, _) in enumerate(made)]
+    rows += [(500 + i, f"Version {i}.{i % 7} is plain. The key: patience and time.") for i in range(100)]
+    field = pii.train(frame(spark, rows))
+    for t, value in made + [text(i) for i in range(20)]:
+        assert (t.index(value), t.index(value) + len(value), "secret") in pii.find_spans(t, field)[1]
+    assert pii.find_spans("The key: patience and time.", field) == ([], [])
+
+
 # toxicity -------------------------------------------------------------------
 
 
