@@ -1,12 +1,14 @@
 """Near-duplicates: MinHash bands, sequential Bayesian pruning, exact verification.
 
 Documents are sets of 5-word shingles (64-bit hashes); two are linked if
-``100 * intersection >= 85 * union``, groups are connected components.
+``100 * intersection >= percent * union`` (85 in op4, 80 in the pipeline), groups are
+connected components.
 
 1. Signatures of ``BANDS * ROWS`` minima. Equal sets become one node, counted
    before the shuffle, so exact copies cost nothing further.
-2. Nodes that share a band are candidates. 30 bands of 6 rows miss a pair at
-   the limit with probability 7e-7.
+2. Nodes that share a band are candidates. The minima are split into
+   bands by the limit: 30 of 6 rows at 85, 36 of 5 at 80 miss a pair at the limit with
+   probability 7e-7.
 3. A candidate's shingles that no other candidate has cannot be shared. What is
    left bounds every similarity exactly and discards most edited copies.
 4. Each band bucket gives one pair per member, with the member of the fewest
@@ -42,6 +44,7 @@ SHINGLE = 5
 BANDS, ROWS = 30, 6
 BATCH = 30
 MISS = 1e-6
+PIPELINE_PERCENT = 80
 BLOCK = 400
 U64 = np.uint64
 
@@ -110,20 +113,34 @@ def _sketch(rows):
             )
 
 
-def _bands(rows):
-    """``(key, node)``: one row per band."""
-    for batch in rows:
-        nodes = batch.column("node").to_numpy()
-        if not len(nodes):
-            continue
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4")
-        sig = sig.reshape(len(nodes), BANDS, ROWS).astype(U64)
-        key = (sig * stream(ROWS, 88)).sum(axis=2, dtype=U64)
-        key = mix(key + np.arange(BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(nodes, BANDS))],
-            names=["key", "node"],
-        )
+def band_shape(percent: int) -> tuple[int, int]:
+    """``(bands, rows)``: the widest bands that miss a pair at the limit in ``MISS`` at most."""
+    minima = BANDS * ROWS
+    for rows in range(ROWS, 1, -1):
+        if not minima % rows and (1 - (percent / 100) ** rows) ** (minima // rows) <= MISS:
+            return minima // rows, rows
+    return minima, 1
+
+
+def _bands(percent: int):
+    """Batches of ``(node, sig)`` -> ``(key, node)``: one row per band."""
+    bands, width = band_shape(percent)
+
+    def run(rows):
+        for batch in rows:
+            nodes = batch.column("node").to_numpy()
+            if not len(nodes):
+                continue
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4")
+            sig = sig.reshape(len(nodes), bands, width).astype(U64)
+            key = (sig * stream(width, 88)).sum(axis=2, dtype=U64)
+            key = mix(key + np.arange(bands, dtype=U64) * U64(0x9E3779B97F4A7C15))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(nodes, bands))],
+                names=["key", "node"],
+            )
+
+    return run
 
 
 def _sets(rows):
@@ -252,7 +269,7 @@ def near_duplicates(docs: DataFrame, tables: Tables, percent: int = 85) -> DataF
     )
     nodes = tables.store(nodes, "nodes")
 
-    bands = tables.store(nodes.select("node", "sig").mapInArrow(released(_bands), "key long, node long"), "bands")
+    bands = tables.store(nodes.select("node", "sig").mapInArrow(released(_bands(percent)), "key long, node long"), "bands")
     shared = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     shared = tables.store(shared, "buckets")
     n_shared = shared.count()
@@ -430,7 +447,7 @@ def drop_near_duplicates(spark, docs, sf_dir) -> DataFrame:
     """Pipeline stage: of each group one document of the smallest id stays, and of equal
     wordless rows one."""
     tables = Tables(spark)
-    found = near_duplicates(docs, tables).where("_d = component").select("_d", "_k", "comp")
+    found = near_duplicates(docs, tables, PIPELINE_PERCENT).where("_d = component").select("_d", "_k", "comp")
     found = tables.store(found, "kept")
     one = found.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct("_d", "_k")).alias("x"))
     kept = one.select("x._d", "x._k").unionByName(

@@ -147,6 +147,22 @@ def test_one_row_stays_per_component(spark):
     assert sorted(got, key=repr) == sorted(set(rows) - {(8, rows[7][1])}, key=repr)
 
 
+def test_pipeline_takes_pairs_from_080(spark, tables):
+    for percent, shape in ((85, (30, 6)), (80, (36, 5))):
+        bands, rows = neardup.band_shape(percent)
+        assert (bands, rows) == shape and (1 - (percent / 100) ** rows) ** bands < neardup.MISS
+    rows = []
+    for i in range(30):  # 96 shingles each: 86 of 106 are shared, then 84 of 108 (0.81, 0.78)
+        words = [f"p{i}x{j}" for j in range(100)]
+        rows.append((3 * i, " ".join(words)))
+        rows.append((3 * i + 1, " ".join([*words[:90], *(f"q{i}x{j}" for j in range(10))])))
+        rows.append((3 * i + 2, " ".join([f"r{i}x{j}" for j in range(12)] + words[12:])))
+    assert near(frame(spark, rows), tables) == brute_components(rows)
+    kept = {r["doc_id"] for r in neardup.drop_near_duplicates(spark, frame(spark, rows), None).collect()}
+    want = {d for d, _, c in brute_components(rows, 80) if d == c}
+    assert kept == want == {3 * i + j for i in range(30) for j in (0, 2)}
+
+
 def test_near_duplicates_in_chains(spark, tables, monkeypatch):
     """Each text is near the next only, hubs do not reach far; blocks of two members."""
     monkeypatch.setattr(neardup, "BLOCK", 2)
