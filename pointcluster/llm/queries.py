@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, linededup, neardup, pii, quality, substring, toxicity, warc
+from . import (
+    align,
+    bpe,
+    chat,
+    decontaminate,
+    fingerprints,
+    linededup,
+    neardup,
+    negatives,
+    pii,
+    quality,
+    substring,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_quality_rules": quality.op1,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8,
     "op9_byte_bpe": bpe.op9,
     "op10_warc": warc.op10,
+    "op11_hard_negatives": negatives.op11,
+    "op12_token_alignment": align.op12,
+    "op13_fingerprints": fingerprints.op13,
 }
 
 ORACLES = {
@@ -22,4 +39,5 @@ ORACLES = {
     "op2_chat_formatting": chat.OP2_SQL,
     "op3_decontamination": decontaminate.OP3_SQL,
     "op10_warc": warc.OP10_SQL,
+    "op11_hard_negatives": negatives.OP11_SQL,
 }
