@@ -93,11 +93,11 @@ def code(x: np.ndarray):
 
 
 class Query:
-    """Bit planes of one rotated anchor."""
+    """One anchor and the bit planes of its rotated form ``y``."""
 
-    def __init__(self, q: np.ndarray):
-        y = rotate(q[None, :].astype(np.float64))[0]
-        self.size = len(y)
+    def __init__(self, x: np.ndarray, y: np.ndarray | None = None):
+        y = rotate(x[None, :].astype(np.float64))[0] if y is None else y
+        self.x, self.size = x, len(y)
         self.low = y.min()
         self.step = (y.max() - self.low) / (2**PLANES - 1) or 1.0
         u = np.rint((y - self.low) / self.step)
@@ -106,31 +106,49 @@ class Query:
         self.length = (y * y).sum()
         self.planes = bits((u.astype(np.int64)[None, :] >> np.arange(PLANES)[:, None] & 1) == 1)
 
-    def interval(self, codes: np.ndarray, c: np.ndarray, r: np.ndarray):
+    def interval(self, rows: Rows):
         """``(estimate, lower, upper)`` of the integer scores of coded rows."""
-        inside = np.zeros(len(codes))
+        inside = np.zeros(len(rows.ids))
         for j, plane in enumerate(self.planes):
-            inside += np.bitwise_count(codes & plane).sum(axis=1, dtype=np.float64) * (1 << j)
-        ones = np.bitwise_count(codes).sum(axis=1, dtype=np.float64)
-        s_q = self.low * (2 * ones - self.size) + self.step * (2 * inside - self.total)
+            for word, own in zip(plane, rows.codes):
+                inside += np.bitwise_count(own & word) * float(1 << j)
+        s_q = self.low * (2 * rows.ones - self.size) + self.step * (2 * inside - self.total)
         sure = np.maximum(np.abs(s_q) - self.error, 0)
-        rest = r * np.sqrt(np.maximum(self.length - sure * sure / self.size, 0))
-        half = rest + c * self.error
-        half += 1e-9 * (half + np.abs(c * s_q)) + 1e-6
-        return c * s_q / self.size, (c * s_q - half) / self.size, (c * s_q + half) / self.size
-
-
-def exact(x: np.ndarray, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Integer inner products."""
-    most = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * len(q)
-    if most < 2**53:
-        return (x[rows].astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
-    if most < 2**62:
-        return x[rows] @ q
-    found = [int(sum(int(a) * int(b) for a, b in zip(v, q))) for v in x[rows]]
-    if any(abs(s) >= 2**63 for s in found):
-        raise ValueError("a score does not fit 64 bits")
-    return np.array(found, np.int64)
+        half = rows.r * np.sqrt(np.maximum(self.length - sure * sure / self.size, 0))
+        half += rows.c * self.error
+        guess = rows.c * s_q
+        half += 1e-9 * (half + np.abs(guess)) + 1e-6
+        return guess / self.size, (guess - half) / self.size, (guess + half) / self.size
+
+
+class Rows:
+    """Coded rows of a block; codes are kept word by word."""
+
+    def __init__(self, ids, x, codes, c, r, most=None):
+        self.ids, self.x, self.codes, self.c, self.r = ids, x, codes, c, r
+        self.ones = sum((np.bitwise_count(w).astype(float) for w in codes), np.zeros(len(ids)))
+        self.most = float(np.abs(x).max(initial=0)) if most is None else most
+
+    def of(self, rows: np.ndarray) -> Rows:
+        codes = [w[rows] for w in self.codes]
+        return Rows(self.ids[rows], self.x[rows], codes, self.c[rows], self.r[rows], self.most)
+
+    def exact(self, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Integer inner products."""
+        most = self.most * float(np.abs(q).max(initial=0)) * len(q)
+        if most < 2**53:
+            if not hasattr(self, "floats"):
+                self.floats = self.x.astype(np.float64)
+            q = q.astype(np.float64)
+            few = 4 * len(rows) < len(self.ids)
+            found = self.floats[rows] @ q if few else (self.floats @ q)[rows]
+            return found.astype(np.int64)
+        if most < 2**62:
+            return self.x[rows] @ q
+        found = [int(sum(int(a) * int(b) for a, b in zip(v, q))) for v in self.x[rows]]
+        if any(abs(s) >= 2**63 for s in found):
+            raise ValueError("a score does not fit 64 bits")
+        return np.array(found, np.int64)
 
 
 def first(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -142,44 +160,42 @@ def first(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], -scores[near]))][:k]
 
 
-def nearest(block: dict, q: np.ndarray, rows: np.ndarray, k: int):
-    """``(rows, scores)`` of the ``k`` best of ``rows``."""
-    if len(rows) <= k:
-        scores = exact(block["x"], q, rows)
-        at = first(block["ids"][rows], scores, k)
-        return rows[at], scores[at]
-    guess, _, upper = Query(q).interval(*(block[n][rows] for n in ("codes", "c", "r")))
-    seeds = np.argpartition(guess, -k)[-k:]
-    threshold = exact(block["x"], q, rows[seeds]).min()
-    left = rows[upper >= threshold]
-    scores = exact(block["x"], q, left)
-    at = first(block["ids"][left], scores, k)
-    return left[at], scores[at]
-
-
-def in_bands(block: dict, q: np.ndarray, rows: np.ndarray, goods: np.ndarray, k: int):
-    """For each positive score in ``goods``: ``(rows, scores)`` of the ``k`` best of ``rows``
-    whose score lies between LOW and HIGH per cent of it."""
-    guess, lower, upper = Query(q).interval(*(block[n][rows] for n in ("codes", "c", "r")))
-    wanted = np.zeros(len(rows), bool)
+def nearest(rows: Rows, query: Query, own: int, k: int):
+    """``(ids, scores)`` of the ``k`` best rows but those with the id ``own``."""
+    left = np.flatnonzero(rows.ids != own)
+    if len(left) > k:
+        guess, _, upper = query.interval(rows)
+        seeds = left[np.argpartition(guess[left], -k)[-k:]]
+        left = left[upper[left] >= rows.exact(query.x, seeds).min()]
+    scores = rows.exact(query.x, left)
+    at = first(rows.ids[left], scores, k)
+    return rows.ids[left[at]], scores[at]
+
+
+def in_bands(rows: Rows, query: Query, others: np.ndarray, goods: np.ndarray, k: int):
+    """For each positive score in ``goods``: ``(ids, scores)`` of the ``k`` best of the rows
+    in the mask ``others`` whose score lies between LOW and HIGH per cent of it."""
+    guess, lower, upper = query.interval(rows)
+    wanted = np.zeros(len(others), bool)
     for good in goods.tolist():
-        possible = (100 * upper >= LOW * good) & (100 * lower <= HIGH * good)
-        if possible.sum() > SEEDS:
-            # those whose estimates lie closest below the band's end
-            away = np.where(possible, np.abs(guess - HIGH * good / 100), np.inf)
-            seeds = np.argpartition(away, SEEDS)[:SEEDS]
-            scores = exact(block["x"], q, rows[seeds])
+        possible = others & (upper >= LOW * good / 100) & (lower <= HIGH * good / 100)
+        places = np.flatnonzero(possible)
+        if len(places) > SEEDS:
+            # those whose estimates lie closest to the band's upper end
+            away = np.abs(guess[places] - HIGH * good / 100)
+            seeds = places[np.argpartition(away, SEEDS)[:SEEDS]]
+            scores = rows.exact(query.x, seeds)
             scores = scores[(100 * scores >= LOW * good) & (100 * scores <= HIGH * good)]
             if len(scores) >= k:
                 possible &= upper >= np.partition(scores, -k)[-k]
         wanted |= possible
-    left = rows[wanted]
-    scores = exact(block["x"], q, left)
+    left = np.flatnonzero(wanted)
+    scores = rows.exact(query.x, left)
     out = []
     for good in goods.tolist():
         near = np.flatnonzero((100 * scores >= LOW * good) & (100 * scores <= HIGH * good))
-        at = near[first(block["ids"][left[near]], scores[near], k)]
-        out.append((left[at], scores[at]))
+        at = near[first(rows.ids[left[near]], scores[near], k)]
+        out.append((rows.ids[left[at]], scores[at]))
     return out
 
 
@@ -193,6 +209,21 @@ def _matrix(column, size: int) -> np.ndarray:
     return out
 
 
+def _gathered(batches, rows: int):
+    """Arrow batches joined and cut to ``rows`` rows each (the last may be shorter)."""
+    held, n = [], 0
+    for batch in batches:
+        for part in sliced([batch], rows):
+            while part.num_rows:
+                took = part.slice(0, rows - n)
+                held, n, part = [*held, took], n + took.num_rows, part.slice(took.num_rows)
+                if n == rows:
+                    yield pa.concat_batches(held)
+                    held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def vector_blocks(rows: DataFrame, size: int, parts: int) -> DataFrame:
     """Blocks of at most ``BLOCK`` coded rows."""
 
@@ -200,7 +231,7 @@ def vector_blocks(rows: DataFrame, size: int, parts: int) -> DataFrame:
         from pyspark import TaskContext
 
         part, n = TaskContext.get().partitionId(), 0
-        for batch in sliced(batches, BLOCK):
+        for batch in _gathered(batches, BLOCK):
             x = _matrix(batch.column("x"), size)
             codes, c, r = code(x)
             parts = [
@@ -222,7 +253,7 @@ def anchor_blocks(anchors: DataFrame, size: int, parts: int) -> DataFrame:
         from pyspark import TaskContext
 
         part, n = TaskContext.get().partitionId(), 0
-        for batch in sliced(batches, ANCHORS):
+        for batch in _gathered(batches, ANCHORS):
             x = _matrix(batch.column("x"), size)
             goods = [np.array(g or [], np.int64).tobytes() for g in batch.column("goods").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -240,8 +271,15 @@ def anchor_blocks(anchors: DataFrame, size: int, parts: int) -> DataFrame:
     return anchors.repartition(parts, "key").mapInArrow(released(run), ANCHOR_SCHEMA)
 
 
+def _alike(rows: Rows, labels: np.ndarray, label: int, known: dict) -> tuple[Rows, np.ndarray]:
+    if label not in known:
+        known[label] = rows.of(np.flatnonzero(labels == label)), labels != label
+    return known[label]
+
+
 def _meet(blocks: DataFrame, anchors: DataFrame, tables: Tables, size: int, work, schema: str):
-    """``work(block, anchor, x, label, goods)`` for every block and anchor.
+    """``work(rows, alike, key, anchor, query, goods)`` for every block and anchor; ``alike``: the
+    rows with the anchor's label, and a mask of the others.
 
     Anchor blocks are broadcast up to ``BROADCAST_BYTES``; larger sets meet the vector
     blocks in a join whose key names both blocks.
@@ -268,16 +306,24 @@ def _meet(blocks: DataFrame, anchors: DataFrame, tables: Tables, size: int, work
             row = {n: batch.column(n)[0].as_py() for n in batch.schema.names}
             numbers = {"ids": np.int64, "labels": np.int64, "c": float, "r": float}
             block = {n: np.frombuffer(row[n], kind) for n, kind in numbers.items()}
-            block["x"] = np.frombuffer(row["x"], np.int64).reshape(-1, size)
-            block["codes"] = np.frombuffer(row["codes"], np.uint64).reshape(-1, size // 64)
+            words = np.frombuffer(row["codes"], np.uint64).reshape(-1, size // 64)
+            rows = Rows(
+                block["ids"], np.frombuffer(row["x"], np.int64).reshape(-1, size),
+                list(np.ascontiguousarray(words.T)), block["c"], block["r"],
+            )
+            of_label = {}
             keys, ids, labels = (
                 np.frombuffer(row[n], np.int64) for n in ("keys", "a_ids", "a_labels")
             )
             x = np.frombuffer(row["a_x"], np.int64).reshape(-1, size)
+            rotated = rotate(x.astype(np.float64))
             found = [
                 out
-                for key, a, q, label, good in zip(keys, ids, x, labels, row["good"])
-                for out in work(block, int(key), int(a), q, label, np.frombuffer(good, np.int64))
+                for key, a, q, y, label, good in zip(keys, ids, x, rotated, labels, row["good"])
+                for out in work(
+                    rows, _alike(rows, block["labels"], label, of_label), int(key), int(a), Query(q, y),
+                    np.frombuffer(good, np.int64),
+                )
             ]
             if found:
                 yield pa.RecordBatch.from_arrays(
@@ -305,10 +351,9 @@ def hard_negatives(
     anchors = tables.store(anchors.withColumn("key", F.xxhash64("vec_id", "label", "x")), "asked")
     n = -(-anchors.count() // ANCHORS) or 1
 
-    def best(block, key, a, q, label, _):
-        own = np.flatnonzero((block["labels"] == label) & (block["ids"] != a))
-        at, scores = nearest(block, q, own, positives)
-        return [(key, a, int(block["ids"][i]), int(s)) for i, s in zip(at, scores)]
+    def best(rows, alike, key, a, q, _):
+        ids, scores = nearest(alike[0], q, a, positives)
+        return [(key, a, int(i), int(s)) for i, s in zip(ids, scores)]
 
     found = _meet(
         blocks, anchor_blocks(anchors.withColumn("goods", F.array().cast("array<bigint>")), size, n),
@@ -326,12 +371,12 @@ def hard_negatives(
         ).alias("goods")
     )
 
-    def hard(block, key, a, q, label, good):
-        other = np.flatnonzero((block["labels"] != label) & (block["ids"] != a))
+    def hard(rows, alike, key, a, q, goods):
+        others = alike[1] & (rows.ids != a)
         return [
-            (key, nth, int(block["ids"][i]), int(s))
-            for nth, (at, scores) in enumerate(in_bands(block, q, other, good, negatives), 1)
-            for i, s in zip(at, scores)
+            (key, nth, int(i), int(s))
+            for nth, (ids, scores) in enumerate(in_bands(rows, q, others, goods, negatives), 1)
+            for i, s in zip(ids, scores)
         ]
 
     met = _meet(

@@ -259,9 +259,10 @@ def test_intervals_hold_and_prune():
     rng = np.random.default_rng(1)
     x = np.floor(256 * rng.normal(size=(3000, 128))).astype(np.int64)
     x[:50] = x[0] + rng.integers(-20, 20, (50, 128))
-    coded = negatives.code(x)
+    codes, c, r = negatives.code(x)
+    rows = negatives.Rows(np.arange(3000), x, list(codes.T), c, r)
     for i in (0, 7, 100):
-        guess, lower, upper = negatives.Query(x[i]).interval(*coded)
+        guess, lower, upper = negatives.Query(x[i]).interval(rows)
         scores = x @ x[i]
         assert (lower <= scores).all() and (scores <= upper).all()
         assert (upper - lower < 2 * np.sqrt((x * x).sum(axis=1) * (x[i] @ x[i]))).all()
