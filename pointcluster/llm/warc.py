@@ -39,7 +39,8 @@ MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"  # records carry no clock, so a repeated task writes the same bytes
-READ = 1 << 20
+READ = 64 << 10
+MAX_TASKS = 100_000
 RECORDS = (
     "page_id long, payload_bytes long, payload_digest string, record_type string, "
     "refers_to long, url string, payload binary"
@@ -173,10 +174,17 @@ def members(path: str, start: int, end: int):
                 if found < 0 or base + found >= end:
                     return
                 pos = base + found
-            packer, parts, valid = zlib.decompressobj(31), [], None
-            chunk, next_at = buf[pos - base :], base + len(buf)
+            packer, parts, valid, next_at = zlib.decompressobj(31), [], None, pos
             try:
-                while chunk:
+                while True:
+                    # what the range's buffer holds, then the file, a slice at a time
+                    chunk = buf[next_at - base : next_at - base + READ]
+                    if not chunk:
+                        file.seek(next_at)
+                        chunk = file.read(READ)
+                    if not chunk:
+                        break
+                    next_at += len(chunk)
                     parts.append(packer.decompress(chunk))
                     if valid is None and sum(map(len, parts)) >= len(VERSION):
                         valid = b"".join(parts).startswith(b"WARC/")
@@ -184,9 +192,6 @@ def members(path: str, start: int, end: int):
                             break
                     if packer.eof:
                         break
-                    file.seek(next_at)
-                    chunk = file.read(READ)
-                    next_at += len(chunk)
             except zlib.error:
                 valid = False
             if valid and packer.eof:
@@ -225,8 +230,9 @@ def read_archives(archives: DataFrame, split_bytes: int = 4 << 20, payloads: boo
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    # one range a task, or a few: ranges are far fewer than rows
-    return ranges.repartition(F.col("path"), F.col("start")).mapInArrow(run, RECORDS)
+    # numbered, so that adaptive execution does not merge the short rows of ranges into one task
+    parts = max(1, min(ranges.count(), MAX_TASKS))
+    return ranges.repartition(parts, "path", "start").mapInArrow(run, RECORDS)
 
 
 def archive_pages(
