@@ -3,6 +3,9 @@
 import hashlib
 import re
 
+import collections
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,7 +176,7 @@ def test_line_templates(spark):
     for i in range(12):
         assert got[i] == f"own line {chr(97 + i)} of it\nlast {chr(97 + i)}"
     assert got[100] == "own line a of it\nlast a\nextra"
-    assert got[200] == "All rights reserved" and got[201] is None and got[202] == ""
+    assert got[200] == "" and got[201] is None and got[202] == "" and got[203] == "\n\n"
     assert linededup.dedup_lines(docs.limit(0), tables).count() == 0
     tables.close()
 
@@ -195,7 +198,8 @@ def deduped(spark, texts, **rules):
 def test_recurring_lines_with_fixed_neighbours(spark):
     block = "Home page here\nAbout this site\nContact the owner\nTerms of use"
     own = [f"{letters(i)} first own line\n{letters(i + 50)} second of them" for i in range(12)]
-    texts = [f"{block}\n{x}\n\nBetween two blanks\n\n{x[::-1]}\n\nLast after blank" for x in own]
+    more = [f"{letters(i + 100)} meht fo dnoces\n{letters(i + 150)} enil nwo tsrif" for i in range(12)]
+    texts = [f"{block}\n{x}\n\nBetween two blanks\n\n{y}\n\nLast after blank" for x, y in zip(own, more)]
     # edited copies of one text stay copies
     lines = [f"{letters(900 + j)} line of a copied text" for j in range(10)]
     copies = []
@@ -203,9 +207,88 @@ def test_recurring_lines_with_fixed_neighbours(spark):
         part = list(lines)
         part[i % 10] = f"{letters(2000 + i)} edited in this copy"
         copies.append("\n".join(part))
-    got = deduped(spark, texts + copies)
-    assert got[:12] == [f"{x}\n\n\n{x[::-1]}\n" for x in own]
+    got = deduped(spark, texts + copies, copy_per_mille=linededup.COPY_PER_MILLE)
+    assert got[:12] == [f"{x}\n\n\n{y}\n" for x, y in zip(own, more)]
     assert got[12:] == copies
+    # without the rule distinct texts count, however alike they are
+    assert deduped(spark, copies) == [f"{letters(2000 + i)} edited in this copy" for i in range(30)]
+
+
+def test_menu_on_every_page(spark):
+    menu = [f"{letters(j)} menu entry" for j in range(10)]
+    pages = ["\n".join([*menu, f"{letters(100 + i)} {letters(300 + i)}"]) for i in range(200)]
+    assert deduped(spark, pages) == [p.split("\n")[-1] for p in pages]
+
+
+def test_long_lines_with_a_changed_word(spark):
+    legal = [f"legal{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    own = [f"{letters(i)} own {letters(i + 90)}" for i in range(20)]
+    texts = []
+    for i, x in enumerate(own):
+        line = list(legal)
+        line[5 + 2 * i] = letters(500 + i)
+        texts.append(f"{x}\n{' '.join(line)}")
+    assert deduped(spark, texts) == own
+
+
+def brute_lines(texts, min_docs=10, depth=3, most=24):
+    """The rules of line templates, line by line."""
+    def tokens(w):
+        m = ["<*>" if any("0" <= c <= "9" for c in t) else t for t in w]
+        if len(w) <= most:
+            return tuple(m)
+        rest = m[depth:]
+        cut = [len(rest) * b // (most - depth) for b in range(most - depth + 1)]
+        return (*m[:depth], *[tuple(rest[a:b]) for a, b in zip(cut, cut[1:])])
+
+    lines = [(d, at, tokens(line.split()), len(line.split()))
+             for d, t in enumerate(texts) for at, line in enumerate((t or "").split("\n")) if line.split()]
+    leaf = {(t, n): (n, t[:depth]) for _, _, t, n in lines}
+    of = collections.Counter(leaf[t, n] for _, _, t, n in lines)
+    support = collections.Counter(
+        (leaf[t, n], p, tok) for _, _, t, n in lines for p, tok in enumerate(t) if p >= depth
+    )
+
+    def templates(t, n):
+        own, out = leaf[t, n], set()
+        share = [1000 if p < depth else 1000 * support[own, p, tok] / of[own]
+                 if support[own, p, tok] >= min_docs else -1 for p, tok in enumerate(t)]
+        for least in linededup.SHARES_PER_MILLE:
+            alike = sum(s >= least or tok == "<*>" for s, tok in zip(share, t))
+            some = 1000 * alike >= linededup.SIMILAR_PER_MILLE * len(t)
+            out.add(tuple(tok if s >= least else "<*>" for s, tok in zip(share, t)) if some else t)
+        if 1000 * sum(s > 500 for s in share) >= linededup.MAJORITY_PER_MILLE * len(t):
+            out.add(("majority", own))
+        return out
+
+    seen = collections.defaultdict(set)
+    for d, _, t, n in lines:
+        if of[leaf[t, n]] >= min_docs:
+            for g in templates(t, n):
+                seen[g].add(texts[d])
+    drop = {(d, at) for d, at, t, n in lines if of[leaf[t, n]] >= min_docs
+            and any(len(seen[g]) >= min_docs for g in templates(t, n))}
+    return [t and "\n".join(x for at, x in enumerate(t.split("\n")) if (d, at) not in drop)
+            for d, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_line_templates_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    names = [letters(i) for i in range(40)]
+    frames = ["you are at {} now", "{} wrote this on day 12{}", "sent by {} to {} and back", "all rights kept",
+              "it is a {} {} {}", "see {}", "a b c " + "longer legal words " * 9 + "{} and the end of it {}"]
+    texts = [None, "", "\n\n"]
+    for _ in range(90):
+        own = [rng.choice(frames) for _ in range(rng.randint(0, 5))]
+        own = [f.format(*rng.choices(names, k=3)) for f in own]
+        own += [" ".join(rng.choices(names, k=rng.randint(1, 40))) for _ in range(rng.randint(0, 3))]
+        rng.shuffle(own)
+        texts.append("\n".join(own))
+    texts += texts[10:20] + texts[10:12]
+    want = brute_lines(texts)
+    assert sum(a != b for a, b in zip(texts, want)) > 30 and deduped(spark, texts) == want
+    assert deduped(spark, []) == []
 
 
 @pytest.mark.parametrize("n", [1_000, 100_000])
