@@ -14,6 +14,8 @@ executors share no disk. The session's own settings are never changed.
 from __future__ import annotations
 
 import atexit
+import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -23,11 +25,20 @@ from pyspark.sql import DataFrame, SparkSession
 _own: list[str] = []
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver has it (if it is there)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="pointcluster-"))
@@ -57,6 +68,7 @@ class Workspace:
     """The intermediate tables of one run; ``close`` deletes them."""
 
     def __init__(self, spark: SparkSession):
+        workers_find_package(spark)
         self.spark = spark
         self.root = scratch_path(spark, "work")
         self.n = 0

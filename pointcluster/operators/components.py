@@ -1,6 +1,9 @@
-"""Connected components by repeated contraction.
+"""Connected components: spanning forests in tasks, then repeated contraction.
 
-Each round every node points to the node of least random priority at most two
+First every task unites the ends of its own edges and keeps a star per component it
+sees: fewer rows than it has nodes, whatever the number of edges. Up to ``LOCAL_ROWS``
+such rows are finished by one task; beyond, contraction rounds shrink the graph and each
+round's edges become forests again. Each round every node points to the node of least random priority at most two
 steps away, follows that pointer once more, and the graph is rebuilt on the
 nodes pointed to. Most nodes vanish per round whatever the shape of the graph
 or the order of its ids: chains and stars alike take O(log n) rounds on ever
@@ -10,8 +13,12 @@ back to every node.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +26,10 @@ from ..functions.durable import Workspace, stored
 from .joins import BROADCAST_ROWS, balanced_join
 
 
+LOCAL_ROWS = 1_000_000
+HELD_ROWS = 500_000
+
+
 @dataclass
 class Components:
     labels: DataFrame
@@ -30,24 +41,32 @@ def connected_components(
 ) -> Components:
     """``(src, dst)`` -> ``labels (id, comp)``: each node's least connected id.
 
-    Direction does not matter. Nodes are those that occur in an edge; a self
-    loop makes an isolated node known.
+    Direction does not matter, nor do repeated edges. Nodes are all ids that occur: a
+    self loop or an edge with a null end makes an isolated node known; an edge of two
+    nulls says nothing. No edges give no labels.
     """
     own = work is None
     work = Workspace(edges.sparkSession) if own else work
     try:
-        if own:
-            edges = work.store(edges.select("src", "dst"))
-        links = _both_ways(edges, work)
+        forest = work.store(spanning_forest(edges))
+        n_rows = forest.count()
+        if n_rows <= LOCAL_ROWS:
+            labels = _finish(forest)
+            return Components(stored(labels) if own else work.store(labels), 0)
+        links = _both_ways(forest, work)
         steps: list[tuple[DataFrame, int]] = []
         while n_links := links.count():
             if len(steps) >= max_rounds:
                 raise RuntimeError(f"no end after {max_rounds} rounds")
+            if n_links <= LOCAL_ROWS:
+                labels = _finish(links).withColumnRenamed("comp", "parent")
+                steps.append((work.store(labels), n_links))
+                break
             # every node has a link, so there are at most n_links of them
             parents = _parents(links, n_links, len(steps), work)
             steps.append((parents, n_links))
             links = _contract(links, parents, n_links, work)
-        alone = edges.where("src = dst").selectExpr("src AS id").distinct()
+        alone = forest.where("src = dst").selectExpr("src AS id").distinct()
         if steps:
             labels = _unwind(steps, work)
             alone = alone.join(labels.select("id"), "id", "left_anti")
@@ -60,6 +79,99 @@ def connected_components(
             work.close()
 
 
+# -- forests ---------------------------------------------------------------------
+
+
+def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least connected node of each of the nodes 0..n-1 under the edges ``a``-``b``.
+
+    At least one end of every live edge hooks onto a smaller root, so the roots that
+    still have edges halve per round.
+    """
+    label = np.arange(n)
+    while len(a):
+        ends = label[a], label[b]
+        live = ends[0] != ends[1]
+        a, b = a[live], b[live]
+        low, high = np.minimum(*ends)[live], np.maximum(*ends)[live]
+        np.minimum.at(label, high, low)
+        while True:
+            onward = label[label]
+            if np.array_equal(onward, label):
+                break
+            label = onward
+    return label
+
+
+def _stars(src, dst):
+    """``(nodes, least)``: each distinct end, and the least node of its component."""
+    ids, at = np.unique(np.concatenate([src, dst]), return_inverse=True)
+    return ids, ids[least_labels(len(ids), at[: len(src)], at[len(src) :])]
+
+
+def _ends(batch: pa.RecordBatch):
+    """Both ends as numpy arrays; a null end is the other one, two nulls are left out."""
+    src, dst = batch.column(0), batch.column(1)
+    known = pa.compute.coalesce(src, dst), pa.compute.coalesce(dst, src)
+    if known[0].null_count:
+        keep = pa.compute.is_valid(known[0])
+        known = [k.filter(keep) for k in known]
+    return [k.to_numpy(zero_copy_only=False) for k in known]
+
+
+def _united(batches: Iterator[pa.RecordBatch], names: list[str], all_rows: bool):
+    """Stars over the edges of a task; written out and begun anew beyond ``HELD_ROWS`` nodes
+    (``all_rows``: held to the end)."""
+    held, rows, kind = [], 0, None
+
+    def folded():
+        nodes, least = _stars(*[np.concatenate([h[i] for h in held]) for i in (0, 1)])
+        return [(nodes, least)], len(nodes)
+
+    def out(nodes, least):
+        for lo in range(0, len(nodes), 100_000):
+            part = slice(lo, lo + 100_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v[part], kind) for v in (nodes, least)], names=names
+            )
+
+    for batch in batches:
+        kind = batch.schema[0].type
+        held.append(_ends(batch))
+        rows += batch.num_rows
+        if rows > 2 * HELD_ROWS:
+            held, rows = folded()
+            if rows > HELD_ROWS and not all_rows:
+                yield from out(*held[0])
+                held, rows = [], 0
+            elif rows > HELD_ROWS:
+                rows = 0  # nodes are held; fold again after as many new edges
+    if held:
+        yield from out(*folded()[0][0])
+
+
+def spanning_forest(edges: DataFrame) -> DataFrame:
+    """``(src, dst)`` with the components of ``edges`` and fewer rows than nodes per task; a
+    node that a task sees without a smaller partner stands as ``(node, node)``."""
+    edges = edges.select("src", "dst")
+    kind = edges.schema["src"].dataType.simpleString()
+
+    def run(batches):
+        yield from _united(batches, ["src", "dst"], False)
+
+    return edges.mapInArrow(run, f"src {kind}, dst {kind}")
+
+
+def _finish(forest: DataFrame) -> DataFrame:
+    """``(id, comp)`` of a forest of at most ``LOCAL_ROWS`` rows, in one task."""
+    kind = forest.schema["src"].dataType.simpleString()
+
+    def run(batches):
+        yield from _united(batches, ["id", "comp"], True)
+
+    return forest.coalesce(1).mapInArrow(run, f"id {kind}, comp {kind}")
+
+
 def _both_ways(edges: DataFrame, work: Workspace) -> DataFrame:
     plain = edges.where("src <> dst")
     return work.store(plain.union(plain.select("dst", "src")).distinct())
@@ -92,11 +204,10 @@ def _contract(links: DataFrame, parents: DataFrame, n_parents: int, work: Worksp
     as_dst = parents.select(F.col("id").alias("dst"), F.col("parent").alias("new_dst"))
     moved = balanced_join(links, as_src, ["src"], n_parents)
     moved = balanced_join(moved, as_dst, ["dst"], n_parents)
-    return work.store(
-        moved.where("new_src <> new_dst")
-        .select(F.col("new_src").alias("src"), F.col("new_dst").alias("dst"))
-        .distinct()
+    moved = moved.where("new_src <> new_dst").select(
+        F.col("new_src").alias("src"), F.col("new_dst").alias("dst")
     )
+    return _both_ways(spanning_forest(moved), work)
 
 
 def _unwind(steps: list[tuple[DataFrame, int]], work: Workspace) -> DataFrame:

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pointcluster import connected_components, eps_neighbors, grid_cells
 from pointcluster.operators import joins
@@ -15,6 +16,13 @@ def tiny_limits(monkeypatch):
     monkeypatch.setattr(components_module, "BROADCAST_ROWS", 0)
 
 
+@pytest.fixture
+def many_rounds(monkeypatch):
+    """No graph is small enough for one task; tasks hold few nodes."""
+    monkeypatch.setattr(components_module, "LOCAL_ROWS", 0)
+    monkeypatch.setattr(components_module, "HELD_ROWS", 2)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, how):
     big = spark.createDataFrame(
@@ -56,30 +64,58 @@ def union_find(edges):
     return {v: find(v) for v in parent}
 
 
-def test_shuffled_chain_ends_soon(spark):
+def test_shuffled_chain_ends_soon(spark, many_rounds):
     order = [int(v) for v in np.random.default_rng(3).permutation(1000)]
     got, rounds = components_of(spark, list(zip(order, order[1:])))
     assert got == dict.fromkeys(range(1000), 0)
-    assert rounds <= 15
+    assert 0 < rounds <= 15
 
 
-def test_ordered_chain_ends_soon(spark):
+def test_ordered_chain_ends_soon(spark, many_rounds):
     got, rounds = components_of(spark, [(i, i + 1) for i in range(199)])
     assert got == dict.fromkeys(range(200), 0) and rounds <= 15
 
 
-def test_random_graphs_self_loops_and_a_hub(spark):
+@pytest.mark.parametrize("local", [0, 20, 10**6])
+def test_random_graphs_self_loops_and_a_hub(spark, monkeypatch, local):
+    monkeypatch.setattr(components_module, "LOCAL_ROWS", local)
     rng = np.random.default_rng(5)
     edges = [tuple(map(int, e)) for e in rng.integers(0, 300, (180, 2))]
     edges += [(500, 500)] + [(1000, 1000 + i) for i in range(1, 60)]
     assert components_of(spark, edges)[0] == union_find(edges)
 
 
-def test_salted_components(spark, tiny_limits):
+def test_salted_components(spark, tiny_limits, many_rounds):
     edges = [(0, i) for i in range(1, 40)] + [(100, 101), (101, 102), (200, 200)]
     assert components_of(spark, edges)[0] == union_find(edges)
 
 
+def test_null_ends_and_repeated_edges(spark):
+    got, _ = components_of(spark, [(3, None), (None, 4), (None, None), (1, 2), (2, 1), (1, 2)])
+    assert got == {3: 3, 4: 4, 1: 1, 2: 1}
+
+
+def test_string_nodes(spark):
+    edges = [("b", "a"), ("é", "z"), ("z", "c"), ("q", "q")]
+    frame = spark.createDataFrame(edges, "src string, dst string").repartition(2)
+    got = {r["id"]: r["comp"] for r in connected_components(frame).labels.collect()}
+    assert got == {"a": "a", "b": "a", "é": "c", "z": "c", "c": "c", "q": "q"}
+
+
+@pytest.mark.parametrize("shape", ["star", "chain", "copies"])
+def test_forest_has_fewer_rows_than_nodes(spark, shape):
+    n = 5_000
+    to = {"star": "0L", "chain": "greatest(id - 1, 0)", "copies": "id % 10"}[shape]
+    edges = spark.range(n * (20 if shape == "copies" else 1)).selectExpr(
+        f"id % {n} AS src", f"{to} AS dst").repartition(4)
+    forest = components_module.spanning_forest(edges)
+    per_task = forest.groupBy(F.spark_partition_id()).agg(
+        F.count("*").alias("rows"), F.countDistinct("src").alias("nodes")).collect()
+    assert all(r["rows"] == r["nodes"] <= n for r in per_task)
+    found = connected_components(edges).labels
+    assert found.count() == n and found.where("comp >= 10").count() == 0
+
+
 def test_no_edges(spark):
     assert components_of(spark, [])[0] == {}
     assert components_of(spark, [(4, 4)])[0] == {4: 4}
