@@ -34,6 +34,7 @@ HELD_ROWS = 500_000
 class Components:
     labels: DataFrame
     rounds: int
+    most: int = 0  # an upper bound of the rows of labels
 
 
 def connected_components(
@@ -52,7 +53,7 @@ def connected_components(
         n_rows = forest.count()
         if n_rows <= LOCAL_ROWS:
             labels = _finish(forest)
-            return Components(stored(labels) if own else work.store(labels), 0)
+            return Components(stored(labels) if own else work.store(labels), 0, n_rows)
         links = _both_ways(forest, work)
         steps: list[tuple[DataFrame, int]] = []
         while n_links := links.count():
@@ -73,7 +74,7 @@ def connected_components(
             labels = labels.unionByName(alone.selectExpr("id", "id AS comp"))
         else:
             labels = alone.selectExpr("id", "id AS comp")
-        return Components(stored(labels) if own else labels, len(steps))
+        return Components(stored(labels) if own else labels, len(steps), n_rows)
     finally:
         if own:
             work.close()
