@@ -90,7 +90,11 @@ def nearest_block(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def assign_nearest(points: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Points plus ``cluster_id`` (the stored id) and ``dist_sq``."""
+    """Points plus ``cluster_id`` (the stored id) and ``dist_sq``.
+
+    The lowest index wins ties. Extra columns may have any name but these two, which are
+    refused. A null or NaN feature is an error; repeated rows are rows of their own.
+    """
     ids, centers = centroid_list(centroids)
     return assign_to_centers(points, centers, ids)
 
@@ -101,27 +105,31 @@ def assign_to_centers(
     """As ``assign_nearest`` for centers already on the driver."""
     k, d = len(centers), len(centers[0])
     ids = list(range(k)) if ids is None else list(ids)
+    # the points' own columns travel in a struct, so none of them meets a name used here
+    packed = points.select(F.struct("*").alias("_p"), "features")
     if unrolls(k, d):
-        found = nearest_columns(unpack(points, d, *points.columns), centers)
-        found = found.select(*points.columns, "c", F.col("d2").alias("dist_sq"))
+        found = nearest_columns(unpack(packed, d, "_p"), centers)
+        cluster = F.col("c")
+        if ids != list(range(k)):
+            cluster = F.expr(f"array({', '.join(map(str, ids))})[c]")
+        found = found.select("_p", cluster.alias("cluster_id"), F.col("d2").alias("dist_sq"))
     else:
-        table = np.array(centers, dtype=float)
+        table, known = np.array(centers, dtype=float), np.array(ids, dtype=np.int32)
 
-        @F.pandas_udf("c int, dist_sq double")
+        @F.pandas_udf("cluster_id int, dist_sq double")
         def nearest(features: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for batch in features:
                 x = feature_block(batch, d)
                 index, d2 = nearest_block(x, table)
-                yield pd.DataFrame({"c": index, "dist_sq": d2})
+                yield pd.DataFrame({"cluster_id": known[index], "dist_sq": d2})
 
-        found = points.select("*", nearest("features").alias("_n")).select(
-            *points.columns, "_n.c", "_n.dist_sq"
+        found = packed.select("_p", nearest("features").alias("_n")).select(
+            "_p", "_n.cluster_id", "_n.dist_sq"
         )
-    if ids == list(range(k)):
-        cluster = F.col("c")
-    else:
-        cluster = F.expr("CASE " + " ".join(f"WHEN c = {j} THEN {v}" for j, v in enumerate(ids)) + " END")
-    return found.select(*points.columns, cluster.cast("int").alias("cluster_id"), "dist_sq")
+    taken = [c for c in points.columns if c.lower() in ("cluster_id", "dist_sq")]
+    if taken:
+        raise ValueError(f"points already have a column {taken[0]}")
+    return found.select("_p.*", F.col("cluster_id").cast("int").alias("cluster_id"), "dist_sq")
 
 
 def centroid_distances(centroids: DataFrame) -> tuple[DataFrame, DataFrame]:

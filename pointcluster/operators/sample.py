@@ -1,4 +1,4 @@
-"""Ordered limits and seeded samples, exact and repeatable.
+"""Ordered limits and seeded samples, exact and repeatable, also where keys repeat.
 
 ``orderBy(...).limit(n)`` sends up to n rows of every partition to one task.
 That is right for a few rows. Larger n first looks up the n-th key and then
@@ -15,6 +15,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 TOP_ROWS = 100
 BAND_ROWS = 100_000
@@ -23,9 +24,9 @@ DIGEST_RANGE = 2**60
 
 
 def raw_limit(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """The first ``n`` raw rows by a unique key, before any filter."""
+    """The first ``n`` raw rows by a key, before any filter; null keys come first."""
     if not order:
-        raise ValueError("a limit without an order does not repeat: name a unique key")
+        raise ValueError("a limit without an order does not repeat: name a key")
     return first_rows(df, n, [F.col(c) for c in order])
 
 
@@ -57,28 +58,52 @@ def seeded_sample(
 def first_rows(
     df: DataFrame, n: int, order: list[Column], top_rows: int = TOP_ROWS, uniform: bool = False
 ) -> DataFrame:
-    """The ``n`` least rows by a unique key; ``uniform``: its first column is a digest."""
+    """The ``n`` least rows; ``uniform``: the first key is a digest.
+
+    Rows with equal keys follow a hash of the whole row (but for maps); rows that are the
+    same throughout are interchangeable, and as many of them come as are missing. So there
+    are exactly ``n`` rows, or all, whatever repeats.
+    """
     if n <= 0:
         raise ValueError("limit must be a positive integer")
+    hashed = [f"`{f.name}`" for f in df.schema if "map<" not in f.dataType.simpleString()]
+    order = [*order, F.xxhash64(*hashed)]
     if n <= top_rows:
         return df.orderBy(*order).limit(n)
+    packed = df.select(F.struct("*").alias("_p"), *[c.alias(f"_k{i}") for i, c in enumerate(order)])
     keys = [f"_k{i}" for i in range(len(order))]
-    keyed = df.select("*", *[c.alias(k) for c, k in zip(order, keys)])
-    cut = _nth_key(keyed.select(*keys), n, keys, uniform)
-    if cut is not None:
-        keyed = keyed.where(_up_to(keyed, keys, cut))
-    return keyed.drop(*keys)
+    found = _nth_key(packed.select(*keys), n, keys, uniform)
+    if found is None:
+        return df
+    cut, wanted, there = found
+    kept = packed.where(_up_to(packed, keys, cut))
+    if wanted < there:
+        last = kept.where(_same(packed, keys, cut)).limit(1)
+        last = last.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(wanted)))).drop("_n")
+        kept = kept.where(~_same(packed, keys, cut)).unionByName(last)
+    return kept.select("_p.*")
+
+
+def _typed(df: DataFrame, keys: list[str], values):
+    names = keys[: len(values)]
+    typed = [F.lit(v).cast(df.schema[k].dataType).alias(k) for v, k in zip(values, names)]
+    return F.struct(*names), F.struct(*typed)
+
+
+def _same(df: DataFrame, keys: list[str], values) -> Column:
+    own, other = _typed(df, keys, values)
+    return own.eqNullSafe(other)
 
 
 def _up_to(df: DataFrame, keys: list[str], values) -> Column:
     """Keys not beyond ``values``, which may name the leading columns only."""
-    names = keys[: len(values)]
-    typed = [F.lit(v).cast(df.schema[k].dataType).alias(k) for v, k in zip(values, names)]
-    return F.struct(*names) <= F.struct(*typed)
+    own, other = _typed(df, keys, values)
+    return own <= other
 
 
 def _nth_key(keyed: DataFrame, n: int, keys: list[str], uniform: bool):
-    """The n-th least key, or None if there are no more than n rows."""
+    """The n-th least key, how many rows with it are among the first n, and how many there
+    are; None if there are no more than n rows."""
     rows = keyed.count()
     if rows <= n:
         return None
@@ -97,8 +122,11 @@ def _nth_key(keyed: DataFrame, n: int, keys: list[str], uniform: bool):
             band, left, rows = band.where(above), left - (rows - n_high), n_high
         else:
             band, left, rows = band.where(~below & ~above), left - n_low, rows - n_low - n_high
-    last = band.orderBy(*keys).limit(left).agg(F.max(F.struct(*keys)).alias("cut")).first()
-    return last["cut"]
+    # what is left has few rows (or few distinct keys), and one order for all of them
+    counts = band.groupBy(*keys).agg(F.count("*").alias("_n")).orderBy(*keys).limit(left)
+    upto = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy(*keys)))
+    last = upto.where(F.col("_upto") >= left).orderBy("_upto").first()
+    return [last[k] for k in keys], left - (last["_upto"] - last["_n"]), last["_n"]
 
 
 def _digests(n: int, rows: int):

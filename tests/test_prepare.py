@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from pointcluster.operators import sample
 
@@ -148,3 +149,40 @@ def test_sample_is_exact_and_repeats(make_points):
         assert ids(seeded_sample(points, 40, 7)) == sorted(want[:40])
         assert ids(seeded_sample(points, 40, 7, top_rows=1)) == sorted(want[:40])
         assert ids(seeded_sample(points, 900, 7)) == list(range(300))
+
+
+@pytest.mark.parametrize("n", [95, 100, 101, 105, 150, 199, 200, 300])
+def test_exact_numbers_where_keys_repeat(spark, n):
+    """200 rows, each id ten times; of each id five rows are the same throughout."""
+    rows = spark.range(200, numPartitions=5).selectExpr(
+        "id % 20 AS id", "IF(id % 40 < 20, 1L, id) AS v", "id AS _k0", "'x' AS _p"
+    ).drop("_k0").withColumn("_k1", F.lit(0))
+    from pointcluster.operators.sample import limit_points, raw_limit, seeded_sample
+
+    for found in (raw_limit(rows, n, "id"), limit_points(rows, n), seeded_sample(rows, n)):
+        assert found.columns == rows.columns
+        got = [tuple(r) for r in found.collect()]
+        assert len(got) == min(n, 200)
+        left = list(map(tuple, rows.collect()))
+        for row in got:
+            left.remove(row)  # no row more often than it is there
+    ids = sorted(r["id"] for r in limit_points(rows, n).collect())
+    assert ids == sorted(i for i in range(20) for _ in range(10))[:n]
+    again = raw_limit(rows.repartition(3), n, "id").collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, raw_limit(rows, n, "id").collect()))
+
+
+def test_nearest_with_clashing_columns_and_odd_ids(spark, make_points):
+    from pointcluster import assign_nearest
+    from pointcluster.operators.nearest import centroid_frame
+
+    points = make_points([(float(i), 0.0) for i in range(30)])
+    for k, step in ((3, 7), (40, 5)):
+        centers = [(float(i), 0.0) for i in range(k)]
+        ids = [9 + step * i for i in range(k)]
+        clash = points.selectExpr("*", *[f"id AS {c}" for c in ("c", "f0", "f1", "d2", "_d0", "_n", "_p")])
+        got = assign_nearest(clash, centroid_frame(spark, centers, ids)).collect()
+        assert {r["id"]: r["cluster_id"] for r in got} == {i: ids[min(i, k - 1)] for i in range(30)}
+        assert all(r["c"] == r["f0"] == r["_p"] == r["id"] for r in got)
+    with pytest.raises(ValueError, match="dist_sq"):
+        assign_nearest(points.selectExpr("*", "1 AS dist_sq"), centroid_frame(spark, [(0.0, 0.0)]))
