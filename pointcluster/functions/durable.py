@@ -19,6 +19,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +65,47 @@ def delete(spark: SparkSession, path: str) -> None:
     path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
 
 
+def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """``write`` a table to a folder beside ``path``, then put it in the place of what is there.
+
+    Until the new table is complete the old one is untouched, so a write that fails or is
+    killed leaves the old rows readable, and a table may be replaced by what is read from
+    it. A switch that is cut off between its two renames leaves the old table as
+    ``<path>.old-*``; ``recover`` puts it back.
+    """
+    path = path.rstrip("/")
+    staged, old = (f"{path}.{name}-{uuid.uuid4().hex}" for name in ("staged", "old"))
+    try:
+        write(staged)
+    except BaseException:
+        delete(spark, staged)
+        raise
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = fs.exists(at(path))
+    if there and not fs.rename(at(path), at(old)):
+        delete(spark, staged)
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(at(staged), at(path)):
+        if there:
+            fs.rename(at(old), at(path))
+        delete(spark, staged)
+        raise OSError(f"cannot put a table at {path}")
+    if there:
+        fs.delete(at(old), True)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back the table that an interrupted ``replace`` had moved away, if there is one."""
+    path = path.rstrip("/")
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at(path)):
+        return False
+    left = fs.globStatus(at(f"{path}.old-*")) or []
+    return len(left) == 1 and fs.rename(left[0].getPath(), at(path))
+
+
 class Workspace:
     """The intermediate tables of one run; ``close`` deletes them."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .plans.seeding import OVERSAMPLE, RECLUSTER, STEPS
 from .queries import (
     EMB_EPS,
     EMB_MIN_PTS,
@@ -96,6 +97,46 @@ def lloyd(rounds: int, d: int = 2) -> str:
     return ", ".join(steps)
 
 
+def parallel_start(k: int, steps: int = STEPS, oversample: int = OVERSAMPLE) -> str:
+    """CTE c0(k, f0, f1): k-means|| seeding with the draws of ``plans.seeding``."""
+    order = f"md5('{SEED}:' || CAST(id AS VARCHAR)), id"
+    parts = [f"s0 AS MATERIALIZED (SELECT 0 AS round, id, f0, f1 FROM p ORDER BY {order} LIMIT 1)"]
+    for i in range(1, steps + 1):
+        chance = f"md5('{SEED}:{i}:' || CAST(id AS VARCHAR))"
+        parts += [
+            f"n{i} AS MATERIALIZED (SELECT p.id, p.f0, p.f1, min({dist_sq('p', 's')}) AS d2 "
+            f"FROM p, s{i - 1} s GROUP BY ALL)",
+            f"s{i} AS MATERIALIZED (SELECT * FROM s{i - 1} UNION ALL SELECT {i}, id, f0, f1 FROM n{i} "
+            f"WHERE CAST(('0x' || substr({chance}, 1, 13)) AS BIGINT) / 4503599627370496.0 "
+            f"* (SELECT sum(d2) FROM n{i}) < {oversample * k} * d2)",
+        ]
+    parts += [
+        f"cand AS MATERIALIZED (SELECT row_number() OVER (ORDER BY round, id) AS j, f0, f1 FROM s{steps})",
+        f"cw AS MATERIALIZED (SELECT j, any_value(f0) AS f0, any_value(f1) AS f1, count(id) AS w FROM ("
+        f"SELECT cand.j, cand.f0, cand.f1, near.id FROM cand LEFT JOIN (SELECT p.id, c.j, row_number() "
+        f"OVER (PARTITION BY p.id ORDER BY {dist_sq('p', 'c')}, c.j) AS r FROM p, cand c) near "
+        "ON near.j = cand.j AND near.r = 1) GROUP BY j)",
+        "t1 AS MATERIALIZED (SELECT 0 AS k, j, f0, f1 FROM cw ORDER BY w DESC, j LIMIT 1)",
+    ]
+    for i in range(2, k + 1):
+        parts.append(
+            f"t{i} AS MATERIALIZED (SELECT * FROM t{i - 1} UNION ALL (SELECT {i - 1}, j, f0, f1 FROM ("
+            f"SELECT c.j, c.f0, c.f1, c.w * min({dist_sq('c', 't')}) AS score FROM cw c, t{i - 1} t "
+            "GROUP BY c.j, c.f0, c.f1, c.w) ORDER BY score DESC, j LIMIT 1))"
+        )
+    last = f"t{k}"
+    for i in range(1, RECLUSTER + 1):
+        parts += [
+            f"r{i} AS MATERIALIZED (SELECT c.*, t.k, row_number() OVER (PARTITION BY c.j "
+            f"ORDER BY {dist_sq('c', 't')}, t.k) AS nth FROM cw c, {last} t)",
+            f"u{i} AS MATERIALIZED (SELECT t.k, coalesce(m.f0, t.f0) AS f0, coalesce(m.f1, t.f1) AS f1 "
+            f"FROM {last} t LEFT JOIN (SELECT k, sum(f0 * w) / sum(w) AS f0, sum(f1 * w) / sum(w) AS f1 "
+            f"FROM r{i} WHERE nth = 1 AND w > 0 GROUP BY k) m USING (k))",
+        ]
+        last = f"u{i}"
+    return ", ".join([*parts, f"c0 AS MATERIALIZED (SELECT CAST(k AS INTEGER) AS k, f0, f1 FROM {last})"])
+
+
 def nearest(k: int, points: str = POINTS, d: int = 2) -> str:
     return f"WITH RECURSIVE {points}, {start(k, d)}, {assign('a', 'c0', d)}"
 
@@ -301,8 +342,8 @@ UNION ALL SELECT 1, min({Y}), max({Y}) FROM trips""",
     "src_centroids_roundtrip": f"WITH {POINTS}, {start(K)} {centers('c0')}",
     "src_assignments_roundtrip": f"""{LABELLED}
 SELECT CAST(id AS VARCHAR) AS point_id, k AS cluster_id FROM a""",
-    "src_overwrite": f"""WITH {POINTS}
-SELECT id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM p WHERE id % 3 = 0""",
+    "src_replaced": f"""WITH {POINTS}
+SELECT id, round(1 - f0 / 2, 6) AS f0, round(1 - f1 / 2, 6) AS f1 FROM p""",
     "filter_box": f"WITH {TRIPS} SELECT {RAW} FROM trips WHERE {BOXED}",
     "feature_hour": "SELECT event_id AS id, CAST(hour(ts) AS INTEGER) AS pickup_hour FROM events",
     "feature_assemble": f"""WITH {TRIPS}
@@ -410,6 +451,11 @@ SELECT 'lloyd' AS algorithm, CAST({K} AS INTEGER) AS k, CAST(2 AS INTEGER) AS ma
 {centers(f'c{ROUNDS}')}""",
     "kmeans_wide": f"""WITH RECURSIVE {EMB64}, {start(K, 64)}, {lloyd(ROUNDS, 64)}
 {dims(f'c{ROUNDS}')}""",
+    "kmeans_parallel_start": f"WITH {POINTS}, {parallel_start(K)} {centers('c0')}",
+    "kmeans_parallel": f"""WITH RECURSIVE {POINTS}, {parallel_start(K)}, {lloyd(2)}
+{centers('c2')}""",
+    "elkan_parallel": f"""WITH RECURSIVE {POINTS}, {parallel_start(K)}, {lloyd(2)}
+{centers('c2')}""",
     "kmeans_variant": VARIANT,
     "ml_kmeans_groups": f"""WITH g AS (
   SELECT event_type, CAST(100 * ascii(event_type) + 10000 * length(event_type) AS DOUBLE) AS z,

@@ -31,7 +31,7 @@ from .kmeans import (
     KMeansResult,
     center_moves,
     check_options,
-    initial_centers,
+    starting_centers,
     moved,
     total_shift,
 )
@@ -217,7 +217,7 @@ def elkan_kmeans(
     tol: float = 1e-4,
     seed: int = 42,
     limit: int | None = None,
-    init: Sequence[Sequence[float]] | None = None,
+    init: Sequence[Sequence[float]] | str | None = None,
     empty: str = "keep",
     shift_norm: str = "sum",
 ) -> KMeansResult:
@@ -228,7 +228,7 @@ def elkan_kmeans(
     """
     check_options(empty, shift_norm, max_iterations)
     points = limit_points(points, limit)
-    centers = [list(map(float, c)) for c in init] if init else initial_centers(points, k, seed)
+    centers = starting_centers(points, k, seed, init)
     layout = _layout(points, len(centers))
     history, held, moves = [], None, None
     work = Workspace(points.sparkSession)

@@ -24,6 +24,7 @@ from ..operators.nearest import (
     nearest_columns,
 )
 from ..operators.sample import limit_points, seeded_sample
+from .seeding import parallel_start
 
 HISTORY_SCHEMA = "iter int, shift double, n_dist long, seconds double"
 
@@ -79,6 +80,17 @@ def initial_centers(points: DataFrame, k: int, seed: int) -> list[list[float]]:
     return centers
 
 
+def starting_centers(points: DataFrame, k: int, seed: int, init) -> list[list[float]]:
+    """``init`` is None (k seeded points), 'k-means||' or the centers themselves."""
+    if init is None:
+        return initial_centers(points, k, seed)
+    if isinstance(init, str):
+        if init != "k-means||":
+            raise ValueError("init must be 'k-means||' or a list of centers")
+        return parallel_start(points, k, seed)
+    return [list(map(float, c)) for c in init]
+
+
 def cluster_means(features: DataFrame, centers: Sequence[Sequence[float]]) -> dict:
     """One Lloyd step: ``{cluster: (count, mean)}`` for non-empty clusters."""
     k, d = len(centers), len(centers[0])
@@ -167,18 +179,19 @@ def kmeans(
     tol: float = 1e-4,
     seed: int = 42,
     limit: int | None = None,
-    init: Sequence[Sequence[float]] | None = None,
+    init: Sequence[Sequence[float]] | str | None = None,
     empty: str = "keep",
     shift_norm: str = "sum",
 ) -> KMeansResult:
     """Lloyd K-Means; stops when the shift falls below ``tol``.
 
     ``shift_norm`` 'sum' adds up the centroid moves, 'l2' is the Frobenius
-    norm. ``init`` overrides the seeded choice of k points.
+    norm. ``init`` replaces the seeded choice of k points: 'k-means||' (``plans.seeding``)
+    or a list of centers.
     """
     check_options(empty, shift_norm, max_iterations)
     points = limit_points(points, limit)
-    centers = [list(map(float, c)) for c in init] if init else initial_centers(points, k, seed)
+    centers = starting_centers(points, k, seed, init)
     features = unpack(points, dimension(points)).persist(StorageLevel.MEMORY_AND_DISK)
     history = []
     try:

@@ -56,6 +56,7 @@ from .functions.durable import scratch_path
 from .operators.nearest import centroid_frame
 from .plans.kmeans import cluster_means, initial_centers, moved
 from .plans.mlkmeans import ml_kmeans
+from .plans.seeding import parallel_start
 from .functions.exprs import unpack
 from .sources import tables, trips as trip_files
 
@@ -189,13 +190,14 @@ def src_assignments_roundtrip(spark, sf_dir):
     return tables.read_labels(spark, path)
 
 
-def src_overwrite(spark, sf_dir):
-    """A second write replaces the first one's rows."""
+def src_replaced(spark, sf_dir):
+    """A second write replaces the first one's rows, and may read them to do so."""
     path = scratch_path(spark, "points")
-    points = trip_points(spark, sf_dir)
-    tables.write_points(points, path)
-    tables.write_points(points.where("id % 3 = 0"), path)
-    return _flat(tables.read_points(spark, path), "id")
+    tables.write_points(trip_points(spark, sf_dir), path)
+    stored = tables.read_points(spark, path)
+    half = F.transform("features", lambda v: 1 - v / 2)
+    tables.write_points(stored.select("id", half.alias("features")), path)
+    return _flat(tables.read_points(spark, path).withMetadata("features", {"dimension": 2}), "id")
 
 
 # -- projections, filters, scaling -------------------------------------------
@@ -431,6 +433,21 @@ def kmeans_centroids_k11(spark, sf_dir):
     return _centers(kmeans(trip_points(spark, sf_dir), K_LARGE, ROUNDS, 0.0, SEED).centroids)
 
 
+def kmeans_parallel_start(spark, sf_dir):
+    """The centers that k-means|| seeding starts from."""
+    points = trip_points(spark, sf_dir)
+    return _centers(centroid_frame(spark, parallel_start(points, K, SEED)))
+
+
+def kmeans_parallel(spark, sf_dir):
+    return _centers(kmeans(trip_points(spark, sf_dir), K, 2, 0.0, SEED, init="k-means||").centroids)
+
+
+def elkan_parallel(spark, sf_dir):
+    found = elkan_kmeans(trip_points(spark, sf_dir), K, 2, 0.0, SEED, init="k-means||")
+    return _centers(found.centroids)
+
+
 def kmeans_wide(spark, sf_dir):
     return _dims(kmeans(emb64(spark, sf_dir), K, ROUNDS, 0.0, SEED).centroids)
 
@@ -630,7 +647,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_scaler_roundtrip": src_scaler_roundtrip,
     "src_centroids_roundtrip": src_centroids_roundtrip,
     "src_assignments_roundtrip": src_assignments_roundtrip,
-    "src_overwrite": src_overwrite,
+    "src_replaced": src_replaced,
     "filter_box": box_filter,
     "feature_hour": feature_hour,
     "feature_assemble": feature_assemble,
@@ -667,6 +684,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_centroids": kmeans_centroids,
     "kmeans_centroids_k11": kmeans_centroids_k11,
     "kmeans_wide": kmeans_wide,
+    "kmeans_parallel_start": kmeans_parallel_start,
+    "kmeans_parallel": kmeans_parallel,
+    "elkan_parallel": elkan_parallel,
     "kmeans_converged": kmeans_converged,
     "kmeans_variant": kmeans_variant,
     "elkan_converged": elkan_converged,

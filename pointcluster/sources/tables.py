@@ -1,6 +1,8 @@
 """Sinks and sources of points, scalers, centroids, labels and run metrics.
 
-Every sink replaces what its path held before. Centroids keep the stored form
+Every sink replaces what its path held before, once the new rows are complete: a write
+that fails leaves the old ones (``functions.durable.replace``). Nulls are stored as they
+are, repeated rows as often as they come, and an empty frame as an empty table. Centroids keep the stored form
 ``cluster_id int, centroid string`` where ``centroid`` is a JSON array, so
 files of either side can be read by the other.
 """
@@ -11,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.durable import replace
+
 SCALER_SCHEMA = T.StructType(
     [
         T.StructField("min_vals", T.ArrayType(T.DoubleType())),
@@ -40,8 +44,12 @@ METRICS_SCHEMA = T.StructType(
 )
 
 
+def _replace(rows: DataFrame, path: str, form: str) -> None:
+    replace(rows.sparkSession, path, rows.write.format(form).save)
+
+
 def write_points(points: DataFrame, path: str) -> None:
-    points.select("id", "features").write.mode("overwrite").parquet(path)
+    _replace(points.select("id", "features"), path, "parquet")
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
@@ -49,7 +57,7 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_scaler(scaler: DataFrame, path: str) -> None:
-    scaler.select("min_vals", "max_vals").write.mode("overwrite").json(path)
+    _replace(scaler.select("min_vals", "max_vals"), path, "json")
 
 
 def read_scaler(spark: SparkSession, path: str) -> DataFrame:
@@ -60,10 +68,11 @@ def read_scaler(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_centroids(centroids: DataFrame, path: str) -> None:
-    centroids.select(
+    rows = centroids.select(
         F.col("cluster_id").cast("int").alias("cluster_id"),
         F.to_json("centroid").alias("centroid"),
-    ).write.mode("overwrite").json(path)
+    )
+    _replace(rows, path, "json")
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
@@ -77,7 +86,7 @@ def read_centroids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_labels(labels: DataFrame, path: str) -> None:
-    labels.write.mode("overwrite").parquet(path)
+    _replace(labels, path, "parquet")
 
 
 def read_labels(spark: SparkSession, path: str, label_type: str = "int") -> DataFrame:
@@ -89,14 +98,14 @@ def read_labels(spark: SparkSession, path: str, label_type: str = "int") -> Data
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
-    predictions.write.mode("overwrite").parquet(path)
+    _replace(predictions, path, "parquet")
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """``cluster_sizes`` is stored as JSON text."""
     if isinstance(metrics.schema["cluster_sizes"].dataType, T.ArrayType):
         metrics = metrics.withColumn("cluster_sizes", F.to_json("cluster_sizes"))
-    metrics.write.mode("overwrite").json(path)
+    _replace(metrics, path, "json")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -171,3 +171,42 @@ def test_center_distances(spark):
     table = {(r["i"], r["j"]): r["dist"] for r in pairs.collect()}
     assert table[(0, 1)] == 5.0 and table[(1, 1)] == 0.0 and len(table) == 9
     assert {r["i"]: r["half_gap"] for r in gaps.collect()}[0] == 1.0
+
+
+@pytest.mark.parametrize("k", [1, 4, 30])
+def test_parallel_start_matches_the_same_draws(make_points, k):
+    import hashlib
+
+    from pointcluster.plans import seeding
+
+    rng = np.random.default_rng(k)
+    x = np.concatenate([rng.normal(c, 0.05, (60, 2)) for c in ((0, 0), (3, 0), (0, 3), (3, 3))])
+    points = make_points([tuple(v) for v in x])
+    seed = 5
+    digest = lambda text: hashlib.md5(text.encode()).hexdigest()
+    found = [min(range(len(x)), key=lambda i: digest(f"{seed}:{i}"))]
+    for step in (1, 2):
+        d2 = ((x[:, None] - x[found][None]) ** 2).sum(axis=2).min(axis=1)
+        draws = np.array([int(digest(f"{seed}:{step}:{i}")[:13], 16) / 2**52 for i in range(len(x))])
+        found += np.flatnonzero(draws * d2.sum() < 2 * k * d2).tolist()
+    near = ((x[:, None] - x[found][None]) ** 2).sum(axis=2).argmin(axis=1)
+    weights = np.bincount(near, minlength=len(found)).tolist()
+    want = seeding.reclustered(x[found].tolist(), weights, k)
+    got = seeding.parallel_start(points, k, seed)
+    assert len(got) == k and np.allclose(got[: len(want)], want)
+    assert np.allclose(got, seeding.parallel_start(points.repartition(5), k, seed))
+    if k == 4:  # one center per group
+        assert sorted(tuple(np.rint(c).astype(int)) for c in got) == [(0, 0), (0, 3), (3, 0), (3, 3)]
+
+
+def test_parallel_start_of_few_or_equal_points(make_points):
+    from pointcluster.plans.seeding import parallel_start
+
+    same = make_points([(1.0, 2.0)] * 6)
+    assert parallel_start(same, 3, 1) == [[1.0, 2.0]] * 3
+    with pytest.raises(ValueError):
+        parallel_start(same, 7, 1)
+    with pytest.raises(ValueError):
+        kmeans(same, 2, init="random")
+    runs = [f(make_points([(0.0, 0.0), (1.0, 0.0), (9.0, 9.0)]), 2, init="k-means||") for f in (kmeans, elkan_kmeans)]
+    assert sorted(runs[0].centers) == sorted(runs[1].centers) == [[0.5, 0.0], [9.0, 9.0]]
