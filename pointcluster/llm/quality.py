@@ -10,7 +10,10 @@ task, and a repeated run gives the same thresholds.
 Groups below ``min_rows`` documents borrow the fences of their language, then
 of all documents. A document is rejected when a measure lies beyond
 ``fence`` times the quartile distance above the upper quartile (word length:
-on either side).
+on either side). Nothing but the sketches sets the fences: where a source's
+quartiles coincide the fence is the quartile itself. Rates of short documents are
+coarse, so a document's own count may exceed what the fence's rate allows by a few
+events (``EVENTS``), whatever its source.
 
 Null text: no words, base_failed. Null language or source: a group of its own.
 Repeated rows each keep their row. An empty table gives an empty result.
@@ -26,13 +29,30 @@ from ..operators.joins import balanced_join
 from .common import SPACE_CHARS, Tables, words
 
 SYMBOLS = "#*$%&|<>"
-# (measure, least quartile distance, whether low values are judged as well)
+FENCE = 6
+# (measure, least quartile distance, whether low values are judged as well). The least one
+# is the sketch's own resolution there: a bucket's width around 500.
 MEASURES = (
-    ("word_length", 60, True),
-    ("symbols", 100, False),
-    ("dup_lines", 150, False),
-    ("repeat_words", 150, False),
+    ("word_length", 16, True),
+    ("symbols", 0, False),
+    ("dup_lines", 0, False),
+    ("repeat_words", 0, False),
 )
+# (events, of what, spare): so many events beyond what the fence's rate allows are no verdict
+EVENTS = {
+    "symbols": ("n_symbols", "n_words", 3),
+    "dup_lines": ("n_dup_lines", "n_lines", 5),
+    "repeat_words": ("n_repeat_words", "n_words", 100),
+}
+
+
+def _fits(measure: str, both: bool, high: str, low: str) -> str:
+    """SQL: the document lies within its group's fences (also DuckDB's)."""
+    if measure in EVENTS:
+        events, of, spare = EVENTS[measure]
+        return f"1000 * {events} <= ({high}) * {of} + {1000 * spare}"
+    fits = f"m_{measure} <= {high}"
+    return f"{fits} AND m_{measure} >= {low}" if both else fits
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
@@ -175,15 +195,13 @@ def _resolved(thresholds: DataFrame, min_rows: int) -> DataFrame:
 
 
 def quality_rules(
-    docs: DataFrame, tables: Tables, min_rows: int = 50, fence: int = 3
+    docs: DataFrame, tables: Tables, min_rows: int = 50, fence: int = FENCE
 ) -> DataFrame:
     """``docs (doc_id, text, lang, source)`` -> counts, measures, fences and verdict."""
     measured = tables.store(_measured(base_measures(docs)), "measures")
     limits = tables.store(_resolved(fences(sketch(measured), fence), min_rows), "fences")
     judged = balanced_join(measured, limits, ["lang", "source"], limits.count())
-    fits = " AND ".join(
-        f"m_{m} <= hi_{m}" + (f" AND m_{m} >= lo_{m}" if both else "") for m, _, both in MEASURES
-    )
+    fits = " AND ".join(_fits(m, both, f"hi_{m}", f"lo_{m}") for m, _, both in MEASURES)
     return judged.withColumn("kept", F.expr(f"NOT base_failed AND {fits}"))
 
 
@@ -243,7 +261,7 @@ g AS (SELECT m.*, {', '.join(
     JOIN f l ON l.lang = m.lang AND l.source = '*' JOIN f a ON a.lang = '*')
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND {' AND '.join(
-    f"m_{m} <= q3_{m} + 3 * greatest(q3_{m} - q1_{m}, {least})"
-    + (f" AND m_{m} >= q1_{m} - 3 * greatest(q3_{m} - q1_{m}, {least})" if both else '')
+    _fits(m, both, f"q3_{m} + {FENCE} * greatest(q3_{m} - q1_{m}, {least})",
+          f"q1_{m} - {FENCE} * greatest(q3_{m} - q1_{m}, {least})")
     for m, least, both in MEASURES)} AS kept FROM g
 """

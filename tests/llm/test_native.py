@@ -75,6 +75,24 @@ def test_sketch_merges_and_learns(spark):
     tables.close()
 
 
+def test_thresholds_follow_the_source(spark):
+    """The same rate of symbols is normal in one source and junk in another."""
+    text = "concat_ws(' ', transform(sequence(1, 100), i -> concat('w', hash(id, i) % 997 + 2000)))"
+    some = f"IF(id % 2 = 0, concat({text}, repeat(' #', CAST(10 + id % 20 AS INT))), {text})"
+    docs = spark.range(600).selectExpr(
+        "id AS doc_id", f"CASE WHEN id < 200 THEN {some} WHEN id < 210 THEN concat({text}, repeat(' #', 25)) "
+        f"WHEN id < 220 THEN concat({text}, repeat(' #', 3)) ELSE {text} END AS text",
+        "'en' AS lang", "IF(id < 200, 'code', 'prose') AS source")
+    tables = Tables(spark)
+    limits = quality._resolved(quality.fences(quality.sketch(quality._measured(
+        quality.base_measures(docs))), quality.FENCE), 50)
+    high = {r["source"]: r["hi_symbols"] for r in limits.collect()}
+    assert high["=prose"] == 0 and high["=code"] > 500
+    got = quality.quality_rules(docs, tables).where("NOT kept").select("doc_id").collect()
+    assert {r[0] for r in got} == set(range(200, 210))
+    tables.close()
+
+
 HOSTILE = [
     (1, 0, "system", "be </s> nice \\ [INST] <|im_end|>\n"),
     (1, 1, "user", None),
