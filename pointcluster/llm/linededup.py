@@ -31,8 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import balanced_join
-from .common import Tables, free_names, join_by_key, keyed, table, words
+from .common import SPACE_CHARS, Tables, free_names, join_by_key, keyed, table, words
 
+# a word with a digit
+FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 SIMILAR_PER_MILLE = 500
 COPY_PER_MILLE = 889
 SHARES_PER_MILLE = (0, 10, 100, 500)
@@ -48,14 +50,14 @@ def _lines(docs: DataFrame, depth: int, max_tokens: int) -> DataFrame:
         F.split("text", "\n").alias("l"),
     )
     lines = texts.select("_d", "_k", "cls", "total", F.posexplode("l").alias("at", "line"))
+    lines = lines.where(F.btrim("line", F.lit(SPACE_CHARS)) != "")
+    # one pass of a pattern over the line is faster than a test of each of its words
+    masked = F.regexp_replace("line", FIELD, "<*>")
+    masked = F.when(F.col("line").rlike("[0-9]"), masked).otherwise(F.col("line"))
     lines = lines.select(
         "_d", "_k", "cls", "total", "at", F.xxhash64("line").alias("raw"),
-        F.length("line").alias("chars"),
-        words(F.col("line")).alias("w"),
-    ).where("size(w) > 0")
-    # one pass of a pattern over the words in a row is faster than a test of each
-    masked = F.regexp_replace(F.array_join("w", " "), "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")
-    lines = lines.withColumn("w", F.split(masked, " "))
+        F.length("line").alias("chars"), words(masked).alias("w"),
+    )
     blocks, rest = max_tokens - depth, f"(size(w) - {depth})"
     hashed = (
         f"concat(slice(w, 1, {depth}), transform(sequence(0, {blocks - 1}), b -> CAST(xxhash64(slice("
