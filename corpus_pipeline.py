@@ -8,7 +8,7 @@ returns one row of token counts and digests per document that is left.
 from __future__ import annotations
 
 from pointcluster.llm import bpe, decontaminate, linededup, neardup, toxicity
-from pointcluster.llm.common import Tables, table
+from pointcluster.llm.common import Tables, closing_tables, table
 
 STAGES = [
     ("toxicity", toxicity.drop_toxic),
@@ -23,9 +23,11 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """The stages in order over documents, each result written and read again."""
+    """The stages in order over documents, each result written and read again; a stage's
+    own tables go once its result is stored."""
     tables = Tables(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = tables.store(stage(spark, docs, sf_dir), name)
+        with closing_tables():
+            docs = tables.store(stage(spark, docs, sf_dir), name)
     return docs

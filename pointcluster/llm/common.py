@@ -14,6 +14,7 @@ import contextlib
 import ctypes
 import gc
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -52,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if not _own_root:
         _own_root.append(tempfile.mkdtemp(prefix="pointcluster-llm-"))
@@ -67,10 +68,13 @@ class Tables:
     that is never closed deletes its folder when the driver exits.
     """
 
+    live: list[Tables] = []
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
         self.n = 0
+        Tables.live.append(self)
 
     def path(self, name: str = "table") -> str:
         if not self.n:
@@ -91,6 +95,8 @@ class Tables:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
+        if self in Tables.live:
+            Tables.live.remove(self)
         if not self.n:
             return
         self.n = 0
@@ -103,6 +109,15 @@ class Tables:
             shutil.rmtree(self.root.removeprefix("file://"), ignore_errors=True)
 
 
+@contextlib.contextmanager
+def closing_tables():
+    """Close the ``Tables`` that are made inside, once what reads them is stored."""
+    before = set(map(id, Tables.live))
+    yield
+    for tables in [t for t in Tables.live if id(t) not in before]:
+        tables.close()
+
+
 def sliced(batches, rows: int = 500):
     """Arrow batches in slices, so that a task turns few rows into Python objects at once."""
     for batch in batches:

@@ -318,8 +318,10 @@ def near_duplicates(docs: DataFrame, tables: Tables, percent: int = 85) -> DataF
     labels = _labels(found, tables)
     placed = nodes.select("node", "d").join(labels, "node", "left")
     placed = placed.select("node", "d", F.coalesce("comp", "node").alias("comp"))
-    least = placed.groupBy("comp").agg(F.min("d").alias("component"))
-    placed = tables.store(placed.join(least, "comp").select("node", "component", "comp"), "components")
+    placed = tables.store(placed, "placed")
+    least = tables.store(placed.groupBy("comp").agg(F.min("d").alias("component")), "least")
+    placed = balanced_join(placed, least, ["comp"], least.count())
+    placed = tables.store(placed.select("node", "component", "comp"), "components")
     keys = rows.select("d", "k", "n", "node")
     with_words = balanced_join(keys.where("n > 0"), placed, ["node"], placed.count())
     out = with_words.select("d", "k", "n", "component", "comp").unionByName(
