@@ -458,12 +458,17 @@ def run_metrics(
     limit: int | None = None,
     test_mode: bool = False,
 ) -> DataFrame:
-    """One row describing a run; sizes as an array of (cluster_id, count)."""
+    """One row describing a run; sizes as an array of (cluster_id, count), ordered by id.
+
+    The row holds all clusters: it is for runs whose clusters are few enough to read. Labels
+    of any type are kept as they are, strings of DBSCAN too; a null label is a cluster of
+    its own, first in order; no labels give an empty array.
+    """
     sizes = labels.groupBy("cluster_id").agg(F.count("*").alias("count"))
     return sizes.agg(
         F.sort_array(
             F.collect_list(
-                F.struct(F.col("cluster_id").cast("int").alias("cluster_id"), "count")
+                F.struct("cluster_id", "count")
             )
         ).alias("cluster_sizes")
     ).select(

@@ -225,3 +225,18 @@ def test_ml_run_is_saved_and_read_back(random_points, spark, tmp_path):
     assert ml_kmeans(points, 3, limit=50).labels.count() == 50
     with pytest.raises(ValueError):
         ml_kmeans(points, 3, init_mode="best")
+
+
+def test_run_metrics_keeps_labels_of_any_type(spark, tmp_path):
+    from pointcluster import run_metrics
+    from pointcluster.sources import tables
+
+    labels = spark.createDataFrame(
+        [("1", "123456789012"), ("2", "123456789012"), ("3", "-1"), ("4", None)],
+        "point_id string, cluster_id string",
+    )
+    found = run_metrics(labels, "dbscan", 0, 0, 0.0, 0, "none", 0.0)
+    assert [tuple(r) for r in found.first()["cluster_sizes"]] == [(None, 1), ("-1", 1), ("123456789012", 2)]
+    tables.write_metrics(found, str(tmp_path / "m"))
+    assert '"123456789012"' in tables.read_metrics(spark, str(tmp_path / "m")).first()["cluster_sizes"]
+    assert run_metrics(labels.limit(0), "dbscan", 0, 0, 0.0, 0, "none", 0.0).first()["cluster_sizes"] == []
