@@ -449,6 +449,10 @@ SELECT 'lloyd' AS algorithm, CAST({K} AS INTEGER) AS k, CAST(2 AS INTEGER) AS ma
 {centers(f'c{ROUNDS}')}""",
     "kmeans_centroids_k11": f"""WITH RECURSIVE {POINTS}, {start(K_LARGE)}, {lloyd(ROUNDS)}
 {centers(f'c{ROUNDS}')}""",
+    "kmeans_resumed": f"WITH RECURSIVE {POINTS}, {start(K)}, {lloyd(ROUNDS)} {shifts(ROUNDS)}",
+    "tree_kmeans_centroids": f"""WITH RECURSIVE {POINTS}, {start(K_LARGE)}, {lloyd(ROUNDS)}
+{centers(f'c{ROUNDS}')}""",
+    "tree_kmeans_converged": CONVERGED,
     "kmeans_wide": f"""WITH RECURSIVE {EMB64}, {start(K, 64)}, {lloyd(ROUNDS, 64)}
 {dims(f'c{ROUNDS}')}""",
     "kmeans_parallel_start": f"WITH {POINTS}, {parallel_start(K)} {centers('c0')}",

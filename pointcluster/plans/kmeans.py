@@ -8,7 +8,7 @@ from the same stored features, so lineage does not grow.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,6 +24,7 @@ from ..operators.nearest import (
     nearest_columns,
 )
 from ..operators.sample import limit_points, seeded_sample
+from .roundlog import RoundLog, round_log
 from .seeding import parallel_start
 
 HISTORY_SCHEMA = "iter int, shift double, n_dist long, seconds double"
@@ -172,6 +173,40 @@ def check_options(empty: str, shift_norm: str, max_iterations: int) -> None:
         raise ValueError("max_iterations must be a positive integer")
 
 
+def run_rounds(
+    points: DataFrame,
+    centers: list[list[float]],
+    step: Callable[[list[list[float]]], tuple[dict, int]],
+    max_iterations: int,
+    tol: float,
+    seed: int,
+    empty: str,
+    shift_norm: str,
+    log: RoundLog | None = None,
+) -> KMeansResult:
+    """Rounds of ``step`` (centers -> means and distances taken) until the shift is below ``tol``.
+
+    With a ``log`` every round is committed before the next one starts, and rounds found
+    there are not run again.
+    """
+    previous, history = centers, []
+    if log is not None:
+        centers, previous, history = log.open(centers)
+    while len(history) < max_iterations and not (history and history[-1][1] < tol):
+        round_no = len(history) + 1
+        started = time.perf_counter()
+        means, n_dist = step(centers)
+        if not means:
+            raise ValueError("no points")
+        new = moved(points, centers, means, empty, seed, round_no)
+        shift = total_shift(center_moves(centers, new), shift_norm)
+        previous, centers = centers, new
+        history.append((round_no, shift, n_dist, time.perf_counter() - started))
+        if log is not None:
+            log.commit(history[-1], centers)
+    return KMeansResult(points, centers, previous, history)
+
+
 def kmeans(
     points: DataFrame,
     k: int = 5,
@@ -182,31 +217,28 @@ def kmeans(
     init: Sequence[Sequence[float]] | str | None = None,
     empty: str = "keep",
     shift_norm: str = "sum",
+    resume: str | None = None,
 ) -> KMeansResult:
     """Lloyd K-Means; stops when the shift falls below ``tol``.
 
     ``shift_norm`` 'sum' adds up the centroid moves, 'l2' is the Frobenius
     norm. ``init`` replaces the seeded choice of k points: 'k-means||' (``plans.seeding``)
-    or a list of centers.
+    or a list of centers. ``resume`` names a shared folder (``plans.roundlog``) where rounds
+    are committed: a restarted driver goes on after the last one.
     """
     check_options(empty, shift_norm, max_iterations)
     points = limit_points(points, limit)
-    centers = starting_centers(points, k, seed, init)
+    log = round_log(points, resume, "lloyd", k, seed, limit, init, empty, shift_norm)
+    centers = log.start() if log is not None else None
+    if centers is None:
+        centers = starting_centers(points, k, seed, init)
     features = unpack(points, dimension(points)).persist(StorageLevel.MEMORY_AND_DISK)
-    history = []
+
+    def step(centers):
+        means = cluster_means(features, centers)
+        return means, sum(n for n, _ in means.values()) * len(centers)
+
     try:
-        for round_no in range(1, max_iterations + 1):
-            started = time.perf_counter()
-            means = cluster_means(features, centers)
-            if not means:
-                raise ValueError("no points")
-            new = moved(points, centers, means, empty, seed, round_no)
-            shift = total_shift(center_moves(centers, new), shift_norm)
-            n_dist = sum(n for n, _ in means.values()) * len(centers)
-            previous, centers = centers, new
-            history.append((round_no, shift, n_dist, time.perf_counter() - started))
-            if shift < tol:
-                break
+        return run_rounds(points, centers, step, max_iterations, tol, seed, empty, shift_norm, log)
     finally:
         features.unpersist()
-    return KMeansResult(points, centers, previous, history)

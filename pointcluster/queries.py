@@ -49,6 +49,7 @@ from . import (
     silhouette_euclid,
     silhouette_sq,
     top_clusters,
+    tree_kmeans,
     with_hour,
     without_noise,
 )
@@ -467,6 +468,23 @@ def elkan_converged(spark, sf_dir):
     return _stopped(elkan_kmeans(trip_points(spark, sf_dir), K, MAX_ROUNDS, TOL, SEED))
 
 
+def tree_kmeans_centroids(spark, sf_dir):
+    """Lloyd's centers by box summaries."""
+    return _centers(tree_kmeans(trip_points(spark, sf_dir), K_LARGE, ROUNDS, 0.0, SEED).centroids)
+
+
+def tree_kmeans_converged(spark, sf_dir):
+    return _stopped(tree_kmeans(trip_points(spark, sf_dir), K, MAX_ROUNDS, TOL, SEED))
+
+
+def kmeans_resumed(spark, sf_dir):
+    """A run of three rounds, gone on with from its committed rounds."""
+    points, log = trip_points(spark, sf_dir), scratch_path(spark, "rounds")
+    kmeans(points, K, 3, 0.0, SEED, resume=log)
+    history = kmeans(points, K, ROUNDS, 0.0, SEED, resume=log).history
+    return history.select("iter", F.round("shift", 6).alias("shift"), "n_dist")
+
+
 def _stopped(run):
     rounds = F.lit(len(run.history_rows)).cast("int")
     return _centers(run.centroids).withColumn("rounds", rounds)
@@ -690,6 +708,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_converged": kmeans_converged,
     "kmeans_variant": kmeans_variant,
     "elkan_converged": elkan_converged,
+    "tree_kmeans_centroids": tree_kmeans_centroids,
+    "tree_kmeans_converged": tree_kmeans_converged,
+    "kmeans_resumed": kmeans_resumed,
     "elkan_centroids": elkan_centroids,
     "elkan_wide": elkan_wide,
     "elkan_init": elkan_start,
