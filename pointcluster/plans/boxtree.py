@@ -8,7 +8,7 @@ number of points: that is all that the driver holds and what a round broadcasts.
 
 In each round boxes are tried from the root. A box that lies wholly on one center's side of
 every bisector moves to that center as a whole, by its count and sums. A box that does not is
-opened; the points of contested leaves, and only those, are compared with the centers, in
+opened, for the centers that are still in question; the points of contested leaves, and only those, are compared with the centers, in
 one job, as Lloyd does. A point goes to the same center as in ``plans.kmeans`` (boxes
 within rounding of a bisector are contested, so ties are settled among points), and centers
 agree up to the rounding of sums.
@@ -30,7 +30,6 @@ from .kmeans import KMeansResult, check_options, cluster_means, run_rounds, star
 from .roundlog import round_log
 
 LEAF_BITS = 16
-OPEN_BLOCK = 2_000_000  # numbers in one block of (boxes, centers, features)
 
 
 def bits_per_feature(d: int) -> int:
@@ -91,36 +90,69 @@ class BoxTree:
             np.minimum.reduceat(lo, first), np.maximum.reduceat(hi, first),
         )
 
-    def _owner(self, lo, hi, centers) -> np.ndarray:
-        """The center that is nearest to all of each box, or -1."""
-        out = np.empty(len(lo), np.int64)
-        step = max(1, OPEN_BLOCK // (centers.size or 1))
-        for at in range(0, len(lo), step):
-            a, b = lo[at : at + step, None, :], hi[at : at + step, None, :]
-            best = (((a + b) / 2 - centers) ** 2).sum(axis=2).argmin(axis=1)
-            own = centers[best][:, None, :]
-            corner = np.where(centers > own, b, a)  # the box's corner farthest towards the other
-            near, far = ((corner - own) ** 2).sum(axis=2), ((corner - centers) ** 2).sum(axis=2)
-            size = (np.abs(corner) + np.abs(own) + np.abs(centers)).max(axis=2) ** 2
-            clear = far - near > 1e-13 * self.d * size
-            clear[np.arange(len(best)), best] = True
-            out[at : at + step] = np.where(clear.all(axis=1), best, -1)
-        return out
-
     def settle(self, centers) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-        """Counts and sums of owned boxes per center, contested leaves, boxes tried."""
+        """Counts and sums of owned boxes per center, contested leaves, distances taken.
+
+        A box is tried with the centers its parent left open only: those that can be
+        nearest to some point of it.
+        """
         centers = np.array(centers, dtype=float)
         counts, sums = np.zeros(len(centers), np.int64), np.zeros(centers.shape)
-        tried, wanted = 0, None
+        pairs = 0
+        parents, lengths = np.array([0], np.int32), np.array([len(centers)])
+        rivals = np.arange(len(centers))
         for code, n, s, lo, hi in self.levels:
-            at = np.arange(len(code)) if wanted is None else np.flatnonzero(np.isin(code >> self.d, wanted))
-            owner = self._owner(lo[at], hi[at], centers)
-            held = owner >= 0
+            up = np.searchsorted(parents, code >> self.d)
+            up[up == len(parents)] = 0
+            at = np.flatnonzero(parents[up] == code >> self.d)
+            up = up[at]
+            rivals, lengths = _repeated(rivals, lengths, up)
+            pairs += len(rivals)
+            owner, open_ = _rivals(lo[at], hi[at], centers, rivals, lengths)
+            left = np.add.reduceat(open_, np.cumsum(lengths) - lengths)
+            held = left == 1  # the owner itself
             np.add.at(counts, owner[held], n[at][held])
             np.add.at(sums, owner[held], s[at][held])
-            tried += len(at)
-            wanted = code[at][~held]
-        return counts, sums, wanted, tried
+            parents, rivals = code[at][~held], rivals[open_ & np.repeat(~held, lengths)]
+            lengths = left[~held]
+            if not len(parents):
+                break
+        return counts, sums, parents, pairs
+
+
+def _repeated(values: np.ndarray, lengths: np.ndarray, take: np.ndarray):
+    """Runs of ``values`` (of the given lengths), taken by number, and their lengths."""
+    starts, lengths = (np.cumsum(lengths) - lengths)[take], lengths[take]
+    shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    return values[shift + np.arange(len(shift))], lengths
+
+
+def _rivals(lo, hi, centers, rivals, lengths) -> tuple[np.ndarray, np.ndarray]:
+    """The center nearest to each box's middle; which rivals may be nearest within the box.
+
+    ``rivals`` holds the numbers of the centers of each box, box after box.
+    """
+    starts = np.cumsum(lengths) - lengths
+    middle = np.repeat((lo + hi) / 2, lengths, axis=0)
+    apart = ((middle - centers[rivals]) ** 2).sum(axis=1)
+    order = np.lexsort((rivals, apart, np.repeat(np.arange(len(lo)), lengths)))
+    owner = rivals[order[starts]]
+    own, other = np.repeat(centers[owner], lengths, axis=0), centers[rivals]
+    # the box's corner farthest towards the rival
+    corner = np.where(other > own, np.repeat(hi, lengths, axis=0), np.repeat(lo, lengths, axis=0))
+    near, far = ((corner - own) ** 2).sum(axis=1), ((corner - other) ** 2).sum(axis=1)
+    size = (np.abs(corner) + np.abs(own) + np.abs(other)).max(axis=1) ** 2
+    open_ = ~(far - near > 1e-13 * centers.shape[1] * size)
+    open_[rivals == np.repeat(owner, lengths)] = True
+    return owner, open_
+
+
+def among(leaves: np.ndarray, d: int) -> str:
+    """SQL: ``leaf`` is one of ``leaves``, by a bitmap of 2^LEAF_BITS bits at most."""
+    words = np.zeros((1 << (d * bits_per_feature(d)) >> 5) + 1, np.int64)
+    np.bitwise_or.at(words, leaves >> 5, np.int64(1) << (leaves & 31).astype(np.int64))
+    bitmap = ", ".join(f"{w}L" for w in words.tolist())
+    return f"(shiftright(array({bitmap})[shiftright(leaf, 5)], leaf & 31) & 1L) = 1L"
 
 
 def summarize(features: DataFrame, d: int) -> BoxTree:
@@ -134,12 +166,9 @@ def summarize(features: DataFrame, d: int) -> BoxTree:
 
 def tree_step(features: DataFrame, tree: BoxTree, centers) -> tuple[dict, int]:
     """One Lloyd step: ``{cluster: (count, mean)}`` and the distances taken."""
-    counts, sums, contested, tried = tree.settle(centers)
-    n_dist = tried * len(centers)
+    counts, sums, contested, n_dist = tree.settle(centers)
     if len(contested):
-        leaves = features.sparkSession.createDataFrame(pd.DataFrame({"leaf": contested}), "leaf int")
-        # at most 2^LEAF_BITS numbers
-        rows = features.join(F.broadcast(leaves), "leaf", "left_semi").drop("leaf")
+        rows = features.where(among(contested, tree.d)).drop("leaf")
         for j, (n, mean) in cluster_means(rows, centers).items():
             counts[j] += n
             sums[j] += n * np.array(mean)
