@@ -1,7 +1,7 @@
 """Nearest centroid of each point.
 
 Few centroids are unrolled into column arithmetic. Larger sets run as numpy
-blocks over Arrow batches. In both the centroids (k x d numbers) are part of
+blocks over Arrow batches, very many through a kd tree over them. In each the centroids (k x d numbers) are part of
 the plan, so points are never shuffled.
 """
 
@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import feature_block, feature_names, sq_dist_to, unpack, unrolls
+from .centerindex import CenterIndex
+
+# From this many centers on a tree over them beats comparing with each (2 and 3 features).
+INDEX_MIN_CENTERS = 2_000
 
 CENTROID_SCHEMA = T.StructType(
     [
@@ -89,6 +93,13 @@ def nearest_block(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.nd
     return index, best
 
 
+def searcher(centers: np.ndarray):
+    """``nearest_block`` for these centers, by an index from ``INDEX_MIN_CENTERS`` on."""
+    if len(centers) >= INDEX_MIN_CENTERS:
+        return CenterIndex(centers, nearest_block).nearest
+    return lambda x: nearest_block(x, centers)
+
+
 def assign_nearest(points: DataFrame, centroids: DataFrame) -> DataFrame:
     """Points plus ``cluster_id`` (the stored id) and ``dist_sq``.
 
@@ -118,9 +129,9 @@ def assign_to_centers(
 
         @F.pandas_udf("cluster_id int, dist_sq double")
         def nearest(features: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            search = searcher(table)
             for batch in features:
-                x = feature_block(batch, d)
-                index, d2 = nearest_block(x, table)
+                index, d2 = search(feature_block(batch, d))
                 yield pd.DataFrame({"cluster_id": known[index], "dist_sq": d2})
 
         found = packed.select("_p", nearest("features").alias("_n")).select(

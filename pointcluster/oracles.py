@@ -12,6 +12,7 @@ from .queries import (
     K_WIDE,
     LIMIT,
     LINK_EPS,
+    MANY_CENTERS,
     MAX_ROUNDS,
     ROUNDS,
     SAMPLE,
@@ -384,6 +385,10 @@ SELECT id, k AS cluster_id, round(d2, 6) AS dist_sq FROM a""",
 SELECT id, k AS cluster_id, round(d2, 6) AS dist_sq FROM a""",
     "assign_nearest_wide": f"""{nearest(K, EMB64, 64)}
 SELECT id, k AS cluster_id, round(d2, 6) AS dist_sq FROM a""",
+    "assign_nearest_many": f"""WITH {POINTS},
+c AS (SELECT * FROM p ORDER BY md5('{SEED}:' || CAST(id AS VARCHAR)), id LIMIT {MANY_CENTERS}),
+n AS (SELECT p.id, min(struct_pack(d2 := {dist_sq('p', 'c', 2)}, k := c.id)) AS best FROM p, c GROUP BY p.id)
+SELECT id, CAST(best.k AS INTEGER) AS cluster_id, round(best.d2, 9) AS dist_sq FROM n""",
     "eps_neighbors": f"""{ON_TRIPS}
 SELECT i AS id, j AS neighbor_id, round(d2, 9) AS dist_sq FROM near""",
     "centroid_distances": f"""WITH {POINTS}, {start(K_LARGE)},

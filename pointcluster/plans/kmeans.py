@@ -20,8 +20,8 @@ from ..functions.exprs import BAD_FEATURE, dimension, feature_names, unpack, unr
 from ..operators.nearest import (
     assign_to_centers,
     centroid_frame,
-    nearest_block,
     nearest_columns,
+    searcher,
 )
 from ..operators.sample import limit_points, seeded_sample
 from .roundlog import RoundLog, round_log
@@ -108,9 +108,10 @@ def cluster_means(features: DataFrame, centers: Sequence[Sequence[float]]) -> di
 
     def partial_sums(batches):
         totals, counts = np.zeros((k, d)), np.zeros(k, dtype=np.int64)
+        search = searcher(table)
         for batch in batches:
             x = batch.to_numpy(dtype=float)
-            index, _ = nearest_block(x, table)
+            index, _ = search(x)
             counts += np.bincount(index, minlength=k)
             for i in range(d):
                 totals[:, i] += np.bincount(index, weights=x[:, i], minlength=k)

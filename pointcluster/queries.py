@@ -73,6 +73,7 @@ LINK_EPS = 0.002
 LIMIT = 3_000
 SAMPLE = 2_000
 K_WIDE = 40
+MANY_CENTERS = 3_000
 MAX_ROUNDS, TOL = 20, 1e-4
 VARIANT_ROUNDS, VARIANT_TOL = 12, 0.02
 FAR = 1000.0
@@ -300,6 +301,16 @@ def nearest_join_wide(spark, sf_dir):
     return found.select("id", "cluster_id", F.round("dist_sq", 6).alias("dist_sq"))
 
 
+def nearest_join_many(spark, sf_dir):
+    """Thousands of centers: the tree over centers. Their ids are those of the points there."""
+    points = trip_points(spark, sf_dir)
+    centers = seeded_sample(points, MANY_CENTERS, SEED).select(
+        F.col("id").cast("int").alias("cluster_id"), F.col("features").alias("centroid")
+    )
+    found = assign_nearest(points, centers)
+    return found.select("id", "cluster_id", F.round("dist_sq", 9).alias("dist_sq"))
+
+
 def eps_pairs(spark, sf_dir):
     pairs = eps_neighbors(trip_points(spark, sf_dir), TRIP_EPS)
     return pairs.select("id", "neighbor_id", F.round("dist_sq", 9).alias("dist_sq"))
@@ -683,6 +694,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_nearest": nearest_join,
     "assign_nearest_k40": nearest_join_k40,
     "assign_nearest_wide": nearest_join_wide,
+    "assign_nearest_many": nearest_join_many,
     "eps_neighbors": eps_pairs,
     "centroid_distances": center_gaps,
     "label_remap": label_remap,
