@@ -14,6 +14,7 @@ from .queries import (
     LINK_EPS,
     MANY_CENTERS,
     MAX_ROUNDS,
+    POINT_BOX,
     ROUNDS,
     SAMPLE,
     SEED,
@@ -345,6 +346,10 @@ UNION ALL SELECT 1, min({Y}), max({Y}) FROM trips""",
 SELECT CAST(id AS VARCHAR) AS point_id, k AS cluster_id FROM a""",
     "src_replaced": f"""WITH {POINTS}
 SELECT id, round(1 - f0 / 2, 6) AS f0, round(1 - f1 / 2, 6) AS f1 FROM p""",
+    "src_placed_box": f"WITH {TRIPS} SELECT {RAW} FROM trips WHERE {BOXED}",
+    "src_placed_points": f"""WITH {POINTS}
+SELECT id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM p WHERE """
+    + " AND ".join(f"f{i} > {lo} AND f{i} < {hi}" for i, (lo, hi) in enumerate(POINT_BOX)),
     "filter_box": f"WITH {TRIPS} SELECT {RAW} FROM trips WHERE {BOXED}",
     "feature_hour": "SELECT event_id AS id, CAST(hour(ts) AS INTEGER) AS pickup_hour FROM events",
     "feature_assemble": f"""WITH {TRIPS}

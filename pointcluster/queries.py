@@ -59,10 +59,11 @@ from .plans.kmeans import cluster_means, initial_centers, moved
 from .plans.mlkmeans import ml_kmeans
 from .plans.seeding import parallel_start
 from .functions.exprs import unpack
-from .sources import tables, trips as trip_files
+from .sources import placed, tables, trips as trip_files
 
 # Parameters shared with the oracle SQL.
 BOX = {"pickup_longitude": (1.0, 300.0), "pickup_latitude": (3600.0, 82800.0)}
+POINT_BOX = [(0.1, 0.3), (0.25, 0.75)]
 K = 5
 K_LARGE = 11
 ROUNDS = 5
@@ -202,6 +203,20 @@ def src_replaced(spark, sf_dir):
     return _flat(tables.read_points(spark, path).withMetadata("features", {"dimension": 2}), "id")
 
 
+def src_placed_box(spark, sf_dir):
+    """Trips stored by place; the box reads folders and row groups that meet it."""
+    path = scratch_path(spark, "trips_placed")
+    placed.write_placed(trips(spark, sf_dir), path, COORDS)
+    inside = placed.read_placed(spark, path, BOX)
+    return inside.where("passenger_count > 0").select("id", *COORDS, "passenger_count")
+
+
+def src_placed_points(spark, sf_dir):
+    path = scratch_path(spark, "points_placed")
+    placed.write_placed_points(trip_points(spark, sf_dir), path)
+    return _flat(placed.read_placed_points(spark, path, POINT_BOX), "id")
+
+
 # -- projections, filters, scaling -------------------------------------------
 
 
@@ -677,6 +692,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_centroids_roundtrip": src_centroids_roundtrip,
     "src_assignments_roundtrip": src_assignments_roundtrip,
     "src_replaced": src_replaced,
+    "src_placed_box": src_placed_box,
+    "src_placed_points": src_placed_points,
     "filter_box": box_filter,
     "feature_hour": feature_hour,
     "feature_assemble": feature_assemble,
