@@ -31,6 +31,7 @@ from .operators.prepare import (
     with_hour,
 )
 from .operators.sample import limit_points, raw_limit, seeded_sample
+from .plans.boundedsilhouette import silhouette_euclid_all
 from .plans.boxtree import tree_kmeans
 from .plans.dbscan import (
     dbscan,

@@ -444,6 +444,16 @@ SELECT 'nearest' AS algorithm, CAST((SELECT count(DISTINCT k) FROM a) AS INTEGER
   (SELECT count(*) FROM a) AS n_points, (SELECT count(*) FROM u) AS silhouette_sample_size,
   round(avg(CASE WHEN x IS NULL THEN 0 ELSE (y - x) / greatest(x, y) END), 6)
     AS silhouette_score FROM w""",
+    "silhouette_all": f"""{LABELLED},
+m AS (SELECT k, count(*) AS n FROM a GROUP BY k),
+v AS (SELECT x.id, x.k AS own, y.k, sum(sqrt({dist_sq('x', 'y')})) AS t
+  FROM a x, a y GROUP BY x.id, x.k, y.k),
+w AS (SELECT v.id, max(CASE WHEN v.k = own AND n > 1 THEN t / (n - 1) END) AS x,
+    min(CASE WHEN v.k <> own THEN t / n END) AS y
+  FROM v JOIN m ON m.k = v.k GROUP BY v.id)
+SELECT 'nearest' AS algorithm, CAST(count(DISTINCT a.k) AS INTEGER) AS k, count(*) AS n_points,
+  round(avg(CASE WHEN x IS NULL THEN 0 ELSE (y - x) / greatest(x, y) END), 3)
+    AS silhouette_score FROM w JOIN a ON a.id = w.id""",
     "kmeans_history": f"WITH RECURSIVE {POINTS}, {start(K)}, {lloyd(ROUNDS)} {shifts(ROUNDS)}",
     "run_metrics": f"""WITH RECURSIVE {POINTS}, {start(K)}, {lloyd(2)}, {assign('a', 'c2')},
 sil AS ({silhouette_sq(2).replace('s AS (', 'WITH s AS (', 1)}),

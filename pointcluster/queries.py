@@ -47,6 +47,7 @@ from . import (
     scale,
     seeded_sample,
     silhouette_euclid,
+    silhouette_euclid_all,
     silhouette_sq,
     top_clusters,
     tree_kmeans,
@@ -427,6 +428,14 @@ def silhouette_sampled(spark, sf_dir):
     return found.withColumn("silhouette_score", F.round("silhouette_score", 6))
 
 
+def silhouette_all(spark, sf_dir):
+    """All rows in time linear in them; three digits, as moments stand for far points."""
+    found = silhouette_euclid_all(_labelled(trip_points(spark, sf_dir)), "nearest", 0.002)
+    return found.select(
+        "algorithm", "k", "n_points", F.round("silhouette_score", 3).alias("silhouette_score")
+    )
+
+
 def kmeans_history(spark, sf_dir):
     history = kmeans(trip_points(spark, sf_dir), K, ROUNDS, 0.0, SEED).history
     return history.select("iter", F.round("shift", 6).alias("shift"), "n_dist")
@@ -726,6 +735,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silhouette_sq": silhouette_squared,
     "silhouette_sq_wide": silhouette_squared_wide,
     "silhouette_euclid": silhouette_sampled,
+    "silhouette_all": silhouette_all,
     "kmeans_history": kmeans_history,
     "run_metrics": metrics_row,
     "kmeans_centroids": kmeans_centroids,
