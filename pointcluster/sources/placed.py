@@ -3,8 +3,8 @@
 Rows are range-partitioned and sorted along a space-filling curve over the named columns,
 whose cells are cut at quantiles (``functions.curve``). The leading bits of the curve name
 folders; inside them, rows of a row group are neighbours. A box then skips in two steps:
-folders whose cells miss it are never listed as files to open, and of the files left,
-row groups and pages whose bounds miss it are not read.
+files of folders whose cells miss it are not opened, and of the files left, row groups and
+pages whose bounds miss it are not read.
 
 The cuts and the schema lie beside the rows in ``_layout``. At most 4,096 folders exist
 and as many places are tried by the driver, whatever the table. Rows of one place (a third
