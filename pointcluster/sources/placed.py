@@ -45,8 +45,8 @@ def write_placed(
 ) -> None:
     """Replace the table at ``path`` by ``df`` in the order of its places.
 
-    ``columns`` are one to 60 numeric columns. Two passes over ``df``: the cuts, and the
-    sorted write with its one shuffle.
+    ``columns`` are one to 60 numeric columns. Three passes over ``df``: the cuts,
+    the bounds of the ranges, and the sorted write with its one shuffle.
     """
     if not columns or len(columns) > 60:
         raise ValueError("name one to 60 columns to place rows by")
