@@ -181,3 +181,29 @@ def test_cells(make_points):
         grid_cells(make_points([(1, 1, 1, 1)]), 1.0)
     with pytest.raises(ValueError):
         grid_cells(make_points([(1, 1)]), 0)
+
+
+def test_tasks_of_the_neighbour_join_follow_its_tests(spark, monkeypatch):
+    """20,000 points are few bytes but many tests: no sort, and tasks by the tests."""
+    from pointcluster.operators import neighbors as module
+
+    monkeypatch.setattr(module, "TASK_PAIRS", 10**12)
+    points = spark.range(20_000).selectExpr(
+        "id", "array(CAST(id % 100 AS DOUBLE) / 100, CAST(id % 7 AS DOUBLE) / 7) AS features"
+    )
+    found = eps_neighbors(points, 0.2, pairs_per_task=10_000_000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert found.rdd.getNumPartitions() >= 10
+    xs, counts = [(i % 100 / 100, i % 7 / 7) for i in range(700)], 20_000 // 700
+    assert found.where("id = 350").count() > counts * sum(
+        1 for x in xs if (x[0] - 0.5) ** 2 + x[1] ** 2 < 0.039
+    )
+
+
+def test_rounded_is_round(spark):
+    from pointcluster.functions.exprs import rounded
+
+    values = [0.0, 2.5e-9, 3.5e-9, 1.25e-5, 0.5e-9, 1.0000000005, 7.4999999e-9, 123456.789, -2.5e-9, -3.2e-9, 1e300]
+    rows = spark.createDataFrame([(v,) for v in values + [i * 1.7e-10 for i in range(2_000)]], "v double")
+    assert rows.where(f"NOT ({rounded('v', 9)} <=> round(v, 9))").count() == 0
