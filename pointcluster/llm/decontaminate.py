@@ -7,15 +7,15 @@ rarest among the documents. Documents are joined on those rare tokens alone,
 positional and length bounds drop places where the window cannot lie, and the
 words themselves confirm containment.
 
-1. item shingles are ordered by rarity: how often they occur in about ``rarity_rows``
-   documents, chosen by a hash, then in the items themselves. The order decides only how
-   many candidates there are, never the result, so a bounded sample will do;
-2. each distinct window keeps its rarest shingle (first offset on ties);
-3. one pass over all texts probes these prefix tokens alone; their places are the
-   candidates, and the words around them confirm or refute the window.
+1. one pass over all texts notes which item shingles each document holds, as hashes;
+2. item shingles are ordered by rarity: how often they occur in all documents, then in the
+   items themselves. Each distinct window keeps its rarest one (first offset on ties);
+3. documents that hold one of these prefix tokens are probed for them alone; their places
+   are the candidates, and the words around them confirm or refute the window.
 
-Texts never shuffle: the benchmark's shingles are broadcast, in as many blocks
-of ``BROADCAST_BYTES`` as their counted size asks for, a pass each.
+Texts never shuffle: the benchmark's shingles, and then the keys of the documents to probe,
+are broadcast, in as many blocks of ``BROADCAST_BYTES`` as their counted size asks for, a
+pass each.
 
 Null, empty and wordless texts: no words, no hits. Items without words take no
 part. Repeated documents or items are judged alike.
@@ -40,7 +40,6 @@ from .common import (
 )
 
 BROADCAST_BYTES = 32 << 20
-RARITY_ROWS = 10_000
 EMPTY_SHA = "sha2('', 256)"
 
 
@@ -90,45 +89,53 @@ def _tokens(windows: DataFrame, sizes: list[int]) -> DataFrame:
     return tokens.select("words", "len", "items", F.col("x.h").alias("h"), F.col("x.p").alias("at"))
 
 
-def _places(docs: DataFrame, wanted: DataFrame, sizes: list[int], window: int) -> DataFrame:
-    """``(_d, _k, n, h, p, around, shift)``: where wanted shingles are, with the words a
-    window there can cover (``around[shift]`` is the shingle's first word); and a row
-    without ``h`` per document, for its number of words ``n``."""
+def _places(
+    docs: DataFrame, wanted: DataFrame, sizes: list[int], window: int | None
+) -> DataFrame:
+    """``(_d, _k, n, h)``: the wanted shingles of every document, and a row without ``h``
+    per document, for its number of words ``n``. With ``window`` these ``(_d, _k, n, h, p,
+    around, shift)`` instead: where they are, with the words a window there can cover
+    (``around[shift]`` is the shingle's first word), and no row without ``h``."""
     texts = docs.select(*key_columns(), item_words(F.col("text")).alias("w"))
     texts = texts.withColumn("wh", F.expr("transform(w, x -> xxhash64(x))"))
-    n_wanted = wanted.count()
-    blocks = max(1, -(-16 * n_wanted // max(BROADCAST_BYTES, 1)))
+    blocks = _blocks(wanted.count())
     counted = "array(named_struct('h', CAST(NULL AS bigint), 'p', 0))"
-    back = window - min(sizes, default=1)
+    back = (window or 0) - min(sizes, default=1)
+    more = [
+        "p",
+        f"slice(w, greatest(p - {back}, 0) + 1, {back} + {window}) AS around",
+        f"least(p, {back}) AS shift",
+    ]
     out = None
     for block in range(blocks):
         mine = wanted.where(f"pmod(h, {blocks}) = {block}") if blocks > 1 else wanted
-        listed = _shingles(sizes, "wh") if sizes else "wh"
-        if block == 0:
+        listed = _shingles(sizes, "wh") if sizes else counted
+        if block == 0 and window is None:
             listed = f"concat({counted}, {listed})" if sizes else counted
             mine = mine.unionByName(mine.sparkSession.sql("SELECT CAST(NULL AS bigint) AS h"))
         grams = texts.select("_d", "_k", "w", F.expr(f"explode({listed}) AS x"))
         grams = grams.select("_d", "_k", "w", F.col("x.h").alias("h"), F.col("x.p").alias("p"))
         mine = F.broadcast(mine.withColumnRenamed("h", "wanted"))  # a block's bytes are bounded
         found = grams.join(mine, F.col("h").eqNullSafe(F.col("wanted")), "left_semi").selectExpr(
-            "_d", "_k", "CAST(size(w) AS bigint) AS n", "h", "p",
-            f"IF(h IS NULL, NULL, slice(w, greatest(p - {back}, 0) + 1, {back} + {window})) AS around",
-            f"least(p, {back}) AS shift",
+            "_d", "_k", "CAST(size(w) AS bigint) AS n", "h", *(more if window else [])
         )
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _rarity(docs: DataFrame, wanted: DataFrame, sizes: list[int], rows: int) -> DataFrame:
-    """``(h, n)``: how often wanted shingles occur in about ``rows`` documents."""
-    step = max(1, docs.count() // rows)
-    some = docs.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(step)), F.lit(step)) == 0)
-    some = some.select(F.transform(item_words(F.col("text")), lambda w: F.xxhash64(w)).alias("wh"))
-    if not sizes:
-        return wanted.select("h", F.lit(0).cast("long").alias("n"))
-    grams = some.select(F.explode(F.expr(_shingles(sizes, "wh"))).alias("x"))
-    counts = grams.groupBy(F.col("x.h").alias("h")).agg(F.count("*").alias("n"))
-    return balanced_join(counts, wanted, ["h"], wanted.count(), "left_semi")
+def _blocks(rows: int) -> int:
+    return max(1, -(-16 * rows // max(BROADCAST_BYTES, 1)))
+
+
+def _holding(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``_k`` is among the distinct ``keys (_k)``."""
+    docs, blocks, out = docs.select("doc_id", "text"), _blocks(keys.count()), None
+    for block in range(blocks):
+        mine = keys.where(f"pmod(_k, {blocks}) = {block}") if blocks > 1 else keys
+        on = key_columns()[1] == F.col("_k")
+        found = docs.join(F.broadcast(mine), on, "left_semi")  # a block's bytes are bounded
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def find_hits(
@@ -137,7 +144,6 @@ def find_hits(
     tables: Tables,
     window: int = 10,
     shingle: int = 5,
-    rarity_rows: int = RARITY_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """``(_d, _k, start, len, items)``: every occurrence of an item window; and
     ``(_d, _k, n)``: the number of words of every document."""
@@ -149,7 +155,9 @@ def find_hits(
     tokens = tables.store(_tokens(windows, sizes or [1]), "tokens")
     own = tokens.groupBy("h").agg(F.count("*").alias("own"))
     own = tables.store(own, "wanted")
-    seen = tables.store(_rarity(docs, own.select("h"), sizes, rarity_rows), "rarity")
+    held = tables.store(_places(docs, own.select("h"), sizes, None), "held")
+    some = held.where("h IS NOT NULL")
+    seen = tables.store(some.groupBy("h").agg(F.count("*").alias("n")), "rarity")
     order = F.struct(F.coalesce("n", F.lit(0)), "own", "at")
     rarest = (
         tokens.join(own, "h").join(seen, "h", "left")
@@ -159,14 +167,16 @@ def find_hits(
     )
     rarest = tables.store(rarest, "prefix")
     prefix = tables.store(rarest.select("h").distinct(), "tokens")
-    places = tables.store(_places(docs, prefix, sizes, window), "places")
+    probed = balanced_join(some, prefix, ["h"], prefix.count(), "left_semi")
+    probed = tables.store(probed.select("_k").distinct(), "probed")
+    places = tables.store(_places(_holding(docs, probed), prefix, sizes, window), "places")
     found = balanced_join(
-        places.where("h IS NOT NULL"), rarest, ["h"], rarest.count(), broadcast_rows=50_000
+        places, rarest, ["h"], rarest.count(), broadcast_rows=50_000
     ).where(
         "p >= at AND p - at + len <= n AND slice(around, shift - at + 1, len) = words"
     )
     hits = found.selectExpr("_d", "_k", "p - at AS start", "len", "items")
-    return hits, places.where("h IS NULL").select("_d", "_k", "n")
+    return hits, held.where("h IS NULL").select("_d", "_k", "n")
 
 
 def decontaminate(

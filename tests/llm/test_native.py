@@ -179,6 +179,29 @@ def test_decontamination(spark, docs):
     tables.close()
 
 
+def test_decontamination_counts_shingles_in_all_documents(spark):
+    frames = {}
+
+    class Noted(Tables):
+        def store(self, df, name="table"):
+            frames[name] = super().store(df, name)
+            return frames[name]
+
+    passage = "a b c d e f g h i j"
+    docs = spark.range(25_000).selectExpr(
+        "id AS doc_id", f"concat('{passage} ', IF(id % 5 = 0, '{passage}', 'x y')) AS text"
+    )
+    items = spark.createDataFrame([("q", passage)], "item_id string, text string")
+    tables = Noted(spark)
+    try:
+        hits, sizes = decontaminate.find_hits(docs, items, tables)
+        assert hits.count() == 30_000 and sizes.count() == 25_000
+        counts = [r["n"] for r in frames["rarity"].collect()]
+        assert counts == [30_000] * 6
+    finally:
+        tables.close()
+
+
 def test_line_templates(spark):
     def body(i):
         return f"own line {chr(97 + i)} of it\nuser {i} logged in from host{i}\nAll rights reserved\nlast {chr(97 + i)}"
