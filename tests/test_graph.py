@@ -207,3 +207,26 @@ def test_rounded_is_round(spark):
     values = [0.0, 2.5e-9, 3.5e-9, 1.25e-5, 0.5e-9, 1.0000000005, 7.4999999e-9, 123456.789, -2.5e-9, -3.2e-9, 1e300]
     rows = spark.createDataFrame([(v,) for v in values + [i * 1.7e-10 for i in range(2_000)]], "v double")
     assert rows.where(f"NOT ({rounded('v', 9)} <=> round(v, 9))").count() == 0
+
+
+@pytest.mark.parametrize("crowded", [False, True])
+def test_spanning_pairs_keep_the_components(spark, monkeypatch, crowded):
+    """Repeated and null ids, equal points; about a row per point, not one per pair."""
+    from pointcluster.plans import dbscan_ranges
+
+    monkeypatch.setattr(dbscan_ranges, "RANGE_POINTS", 40)
+    if crowded:
+        monkeypatch.setattr(dbscan_ranges, "TILE_POINTS", 3)
+    x = np.random.default_rng(5).random((400, 2))
+    x[:120] = x[:120] * 0.05
+    rows = [(i, [float(a), float(b)]) for i, (a, b) in enumerate(x)]
+    rows += rows[:30] + [(7, [0.9, 0.9]), (None, [0.5, 0.5]), (None, [0.52, 0.5]), (901, [0.54, 0.5])]
+    points = spark.createDataFrame(rows, "id long, features array<double>").repartition(3)
+
+    def labels(pairs):
+        edges = pairs.selectExpr("id AS src", "neighbor_id AS dst")
+        return sorted(tuple(r) for r in connected_components(edges).labels.collect())
+
+    pairs, few = eps_neighbors(points, 0.03), eps_neighbors(points, 0.03, spanning=True)
+    assert labels(few) == labels(pairs)
+    assert few.count() < 5 * len(rows) < pairs.count()
