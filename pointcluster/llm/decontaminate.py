@@ -98,14 +98,16 @@ def _places(
     (``around[shift]`` is the shingle's first word), and no row without ``h``."""
     texts = docs.select(*key_columns(), item_words(F.col("text")).alias("w"))
     texts = texts.withColumn("wh", F.expr("transform(w, x -> xxhash64(x))"))
+    texts = texts.withColumn("n", F.size("w").cast("bigint"))
     blocks = _blocks(wanted.count())
     counted = "array(named_struct('h', CAST(NULL AS bigint), 'p', 0))"
     back = (window or 0) - min(sizes, default=1)
-    more = [
-        "p",
-        f"slice(w, greatest(p - {back}, 0) + 1, {back} + {window}) AS around",
-        f"least(p, {back}) AS shift",
-    ]
+    # a row per shingle carries the words around it, never those of the whole text
+    around = (
+        "transform({}, x -> named_struct('h', x.h, 'p', x.p, 'around', "
+        f"slice(w, greatest(x.p - {back}, 0) + 1, {back} + {window})))"
+    )
+    more = ["x.p AS p", "x.around AS around", f"least(x.p, {back}) AS shift"] if window else []
     out = None
     for block in range(blocks):
         mine = wanted.where(f"pmod(h, {blocks}) = {block}") if blocks > 1 else wanted
@@ -113,12 +115,11 @@ def _places(
         if block == 0 and window is None:
             listed = f"concat({counted}, {listed})" if sizes else counted
             mine = mine.unionByName(mine.sparkSession.sql("SELECT CAST(NULL AS bigint) AS h"))
-        grams = texts.select("_d", "_k", "w", F.expr(f"explode({listed}) AS x"))
-        grams = grams.select("_d", "_k", "w", F.col("x.h").alias("h"), F.col("x.p").alias("p"))
+        listed = around.format(listed) if window else listed
+        grams = texts.select("_d", "_k", "n", F.expr(f"explode({listed}) AS x"))
+        grams = grams.selectExpr("_d", "_k", "n", "x.h AS h", *more)
         mine = F.broadcast(mine.withColumnRenamed("h", "wanted"))  # a block's bytes are bounded
-        found = grams.join(mine, F.col("h").eqNullSafe(F.col("wanted")), "left_semi").selectExpr(
-            "_d", "_k", "CAST(size(w) AS bigint) AS n", "h", *(more if window else [])
-        )
+        found = grams.join(mine, F.col("h").eqNullSafe(F.col("wanted")), "left_semi")
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -202,6 +202,27 @@ def test_decontamination_counts_shingles_in_all_documents(spark):
         tables.close()
 
 
+def test_decontamination_rows_do_not_carry_the_whole_text(spark):
+    words = [f"w{i}" for i in range(400)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, None)], "doc_id long, text string")
+    wanted = docs.limit(1).select(
+        F.explode(F.expr("transform(slice(split(text, ' '), 101, 2), x -> xxhash64(1, xxhash64(x)))"))
+        .alias("h")
+    )
+    for window in (None, 10):
+        found = decontaminate._places(docs, wanted, [1], window)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        kept = re.findall(r"Generate explode\(.*\), \[([^\]]*)\], \w+, \[x#", plan)
+        assert kept and all(re.findall(r"(\w+)#", k) == ["_d", "_k", "n"] for k in kept)
+        rows = sorted(found.where("h IS NOT NULL").collect(), key=str)
+        assert [(r["_d"], r["n"]) for r in rows] == [(1, 400)] * 2
+        if window:
+            assert sorted(r["p"] for r in rows) == [100, 101]
+            for r in rows:
+                at = r["p"] - r["shift"]
+                assert r["around"] == words[at : at + 19] and r["around"][r["shift"]] == words[r["p"]]
+
+
 def test_line_templates(spark):
     def body(i):
         return f"own line {chr(97 + i)} of it\nuser {i} logged in from host{i}\nAll rights reserved\nlast {chr(97 + i)}"
