@@ -40,8 +40,11 @@ from ..functions.exprs import dimension, feature_names, unpack
 LEAVES = 1 << 18
 MAX_SLICE_BITS = 9
 PAIRS = 2_000_000  # of a point and a box, at a time
+TILE = 1 << 15  # of them in arrays that fit a core's cache
 STRIP = 2_048
+TOGETHER = 256  # rows of a cell that is not cut finer
 TASK_ROWS = 10_000  # worth a task of their own while cores are idle
+DENSE_ROWS = 100_000  # otherwise: the more rows a task has, the nearer are neighbours
 
 
 class MomentTree:
@@ -69,39 +72,69 @@ class MomentTree:
 
     def sums(self, x: np.ndarray, tolerance: float):
         """Lower bounds and gaps of the summed distances from every row of ``x`` to every
-        cluster, both (rows, clusters), and the number of boxes met."""
+        cluster, both (rows, clusters), and the number of boxes met.
+
+        The rows walk together while the box around them tells that all of them open a box
+        or none does; only where it can't tell, a row and a box are met one by one."""
         k = len(self.sizes)
         lower, gap = np.zeros(len(x) * k), np.zeros(len(x) * k)
-        roots = len(self.levels[0][0])
-        row = np.repeat(np.arange(len(x)), roots)
-        box = np.tile(np.arange(roots), len(x))
+        least, most = x.min(axis=0), x.max(axis=0)
+        shared, whole = np.arange(len(self.levels[0][0])), []
+        row = box = np.zeros(0, np.int64)
         met = 0
         for cluster, count, mean, scatter, first, lengths in self.levels:
+            met += len(shared) * len(x)
+            n, s = count[shared], scatter[shared]
+            if first is None:
+                opens = np.zeros(len(shared), bool)
+            else:
+                below, above = least - mean[shared], mean[shared] - most
+                near = np.sqrt((np.maximum(np.maximum(below, above), 0.0) ** 2).sum(axis=1))
+                far = np.sqrt((np.maximum(np.abs(below), np.abs(above)) ** 2).sum(axis=1))
+                opens = _over(far, n, s) > tolerance * n * far
+                unsure = ~opens & (_over(near, n, s) > tolerance * n * near)
+                row = np.concatenate([row, np.repeat(np.arange(len(x)), unsure.sum())])
+                box = np.concatenate([box, np.tile(shared[unsure], len(x))])
+                met -= int(unsure.sum()) * len(x)
+                n, s, shared, opens = (v[~unsure] for v in (n, s, shared, opens))
+            taken = shared[~opens]
+            whole.append((cluster[taken], mean[taken], n[~opens], s[~opens]))
             if len(row) > PAIRS and len(x) > 1:
                 half = len(x) // 2
                 a, b = self.sums(x[:half], tolerance), self.sums(x[half:], tolerance)
                 return np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]]), a[2] + b[2]
             met += len(row)
-            u2 = np.zeros(len(row))
-            for i in range(x.shape[1]):
-                u2 += (x[row, i] - mean[box, i]) ** 2
-            u, n, s = np.sqrt(u2), count[box], scatter[box]
-            low = n * u
-            with np.errstate(divide="ignore", invalid="ignore"):
-                over = np.where(u > 0, s / (2 * u), np.inf)
-            over = np.where(s > 0, np.minimum(over, np.sqrt(n * s)), 0.0)
-            open_ = over > tolerance * low if first is not None else np.zeros(len(row), bool)
+            open_ = self._one_by_one(
+                x, row, box, (cluster, count, mean, scatter, first), tolerance, lower, gap
+            )
+            if first is None:
+                break
+            row, box = row[open_], box[open_]
+            times, shared = lengths[box], shared[opens]
+            row, box = np.repeat(row, times), _children(first, lengths, box)
+            shared = _children(first, lengths, shared)
+            if not len(row) and not len(shared):
+                break
+        lower, gap = lower.reshape(-1, k), gap.reshape(-1, k)
+        _add_whole(x, [np.concatenate(v) for v in zip(*whole)], lower, gap)
+        return lower, gap, met
+
+    @staticmethod
+    def _one_by_one(x, row, box, level, tolerance: float, lower, gap):
+        """Adds the boxes that their rows take as they are; returns which others are opened."""
+        cluster, count, mean, scatter, first = level
+        k = len(lower) // len(x)
+        u2 = np.zeros(len(row))
+        for i in range(x.shape[1]):
+            u2 += (x[row, i] - mean[box, i]) ** 2
+        u, n = np.sqrt(u2), count[box]
+        low, over = n * u, _over(u, n, scatter[box])
+        open_ = over > tolerance * low if first is not None else np.zeros(len(row), bool)
+        if not open_.all():
             at = row[~open_] * k + cluster[box[~open_]]
             lower += np.bincount(at, low[~open_], len(lower))
             gap += np.bincount(at, over[~open_], len(gap))
-            if not open_.any():
-                break
-            row, box = row[open_], box[open_]
-            times = lengths[box]
-            ends = np.cumsum(times)
-            inner = np.arange(ends[-1]) - np.repeat(ends - times, times)
-            row, box = np.repeat(row, times), np.repeat(first[box], times) + inner
-        return lower.reshape(-1, k), gap.reshape(-1, k), met
+        return open_
 
     def silhouettes(self, x: np.ndarray, own: np.ndarray, tolerance: float):
         """Least and largest possible silhouette of every row, and the boxes met."""
@@ -125,6 +158,59 @@ def _silhouette(a, b):
     return np.where(most > 0, (b - a) / np.where(most > 0, most, 1.0), 0.0)
 
 
+def _over(u, n, s):
+    """How much more than ``n u`` the summed distances to a box can be."""
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        return np.fmin(s / (2 * u), np.sqrt(n * s))
+
+
+def _children(first, lengths, box):
+    """The children of every box, one box after the other."""
+    times = lengths[box]
+    ends = np.cumsum(times)
+    inner = np.arange(times.sum()) - np.repeat(ends - times, times)
+    return np.repeat(first[box], times) + inner
+
+
+def _add_whole(x, boxes, lower, gap) -> None:
+    """Adds boxes that all rows of ``x`` take, few enough pairs at a time for the caches."""
+    if not len(boxes[0]):
+        return
+    order = np.argsort(boxes[0], kind="stable")
+    cluster, mean, n, s = (v[order] for v in boxes)
+    starts = np.flatnonzero(np.r_[True, cluster[1:] != cluster[:-1]])
+    half, cap = s / 2, np.sqrt(n * s)
+    rows = max(1, TILE // len(n))
+    for at in range(0, len(x), rows):
+        part = x[at : at + rows]
+        u = np.zeros((len(part), len(n)))
+        for i in range(x.shape[1]):
+            step = part[:, i, None] - mean[:, i]
+            step *= step
+            u += step
+        np.sqrt(u, out=u)
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            over = np.divide(half, u)
+            np.fmin(over, cap, out=over)
+        u *= n
+        lower[at : at + rows, cluster[starts]] += np.add.reduceat(u, starts, axis=1)
+        gap[at : at + rows, cluster[starts]] += np.add.reduceat(over, starts, axis=1)
+
+
+def near_rows(place: np.ndarray, d: int, bits: int):
+    """Slices of rows sorted by ``place`` that walk together: those of one cell of the curve,
+    cut finer while a cell has more than ``TOGETHER`` of them, at most ``STRIP``."""
+    todo = [(0, len(place), bits)]
+    while todo:
+        lo, hi, level = todo.pop()
+        if hi - lo <= TOGETHER or not level:
+            yield from (slice(at, min(at + STRIP, hi)) for at in range(lo, hi, STRIP))
+            continue
+        cell = place[lo:hi] >> (d * (level - 1))
+        cuts = [lo, *(np.flatnonzero(cell[1:] != cell[:-1]) + lo + 1).tolist(), hi]
+        todo += [(a, b, level - 1) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def _merged(cluster, code, count, mean, scatter, d: int):
     """The level above: moments of boxes with one parent, added without cancellation."""
     up = code >> d
@@ -220,21 +306,26 @@ def _scored(labelled: DataFrame, tolerance: float, keep: list[str]):
         for batch in batches:
             x = batch[names].to_numpy(dtype=float)
             own = np.array([place[v] for v in batch["cluster_id"].tolist()], int)
-            for at in range(0, len(x), STRIP):
-                part = slice(at, at + STRIP)
-                low, high, met = tree.silhouettes(x[part], own[part], tolerance)
-                boxes = np.zeros(len(low), np.int64)
-                boxes[:1] = met  # a strip's, at its first row
-                yield batch.iloc[part].drop(columns=names).assign(
-                    sil_low=low, sil_high=high, boxes=boxes
-                )
+            low, high = np.zeros(len(x)), np.zeros(len(x))
+            boxes = np.zeros(len(x), np.int64)
+            for part in near_rows(batch["_leaf"].to_numpy(), d, bits):
+                low[part], high[part], boxes[part.start] = tree.silhouettes(
+                    x[part], own[part], tolerance
+                )  # a group's boxes, at its first row
+            yield batch.drop(columns=[*names, "_leaf"]).assign(
+                sil_low=low, sil_high=high, boxes=boxes
+            )
 
     kept = [f for f in flat.schema if f.name not in names]
     out = T.StructType([
         *kept, *[T.StructField(c, T.DoubleType()) for c in ("sil_low", "sil_high")],
         T.StructField("boxes", T.LongType()),
     ])
-    wanted = min(8 * spark.sparkContext.defaultParallelism, -(-counts[1] // TASK_ROWS))
+    cores = spark.sparkContext.defaultParallelism
+    wanted = max(
+        min(cores, -(-counts[1] // TASK_ROWS)), min(8 * cores, -(-counts[1] // DENSE_ROWS))
+    )
     if flat.rdd.getNumPartitions() < wanted:
         flat = flat.repartition(wanted)
-    return flat.select(*[f.name for f in kept], *names).mapInPandas(score, out)
+    placed = with_place(flat.select(*[f.name for f in kept], *names), names, cuts, "_leaf")
+    return placed.sortWithinPartitions("_leaf").mapInPandas(score, out)

@@ -96,6 +96,46 @@ def test_strips_are_halved_where_pairs_are_many(monkeypatch):
     np.testing.assert_allclose(whole[1].ravel(), np.asarray(parts[1]).ravel())
 
 
+def test_rows_of_one_place_walk_together(monkeypatch):
+    """What a crowded place meets is met by all its rows at once, with the sums of each alone."""
+    rng = np.random.default_rng(6)
+    n, bits = 30_000, 6
+    points = rng.random((n, 2))
+    slices = np.minimum((points * 2**bits).astype(np.int64), 2**bits - 1)
+    place = sum((slices[:, i] >> b & 1) << (2 * b + i) for i in range(2) for b in range(bits))
+    order = np.argsort(place, kind="stable")
+    points, place = points[order], place[order]
+    own = (points[:, 0] * 3).astype(int)
+    keys, leaf = np.unique(np.stack([own, place]), axis=1, return_inverse=True)
+    count = np.bincount(leaf.ravel())
+    mean, square = (
+        np.stack([np.bincount(leaf.ravel(), v) for v in w.T], axis=1) / count[:, None]
+        for w in (points, points**2)
+    )
+    scatter = np.maximum(square - mean**2, 0).sum(axis=1) * count
+    tree = MomentTree(keys[0], keys[1], count, mean, scatter, 2, bits)
+    parts = list(boundedsilhouette.near_rows(place, 2, bits))
+    rows = np.concatenate([np.arange(n)[p] for p in parts])
+    assert sorted(rows.tolist()) == list(range(n))
+    part = max(parts, key=lambda p: p.stop - p.start)
+    met_alone = 0
+    whole = MomentTree._one_by_one
+
+    def noted(x, row, *more):
+        nonlocal met_alone
+        met_alone += len(row)
+        return whole(x, row, *more)
+
+    monkeypatch.setattr(MomentTree, "_one_by_one", staticmethod(noted))
+    lower, gap, met = tree.sums(points[part], 0.002)
+    assert 0 < met_alone < 0.35 * met
+    monkeypatch.undo()
+    alone = [tree.sums(points[i : i + 1], 0.002) for i in range(part.start, part.stop)]
+    np.testing.assert_allclose(lower, np.concatenate([a[0] for a in alone]))
+    np.testing.assert_allclose(gap, np.concatenate([a[1] for a in alone]))
+    assert met == sum(a[2] for a in alone)
+
+
 def test_ties_single_points_strings_and_nulls(spark):
     x = np.array([[0.0, 0.0]] * 40 + [[1.0, 1.0]] * 20 + [[5.0, 5.0]] + [[0.0, 0.0]] * 9)
     labels = ["a"] * 40 + ["b"] * 20 + ["alone"] + ["b"] * 9
