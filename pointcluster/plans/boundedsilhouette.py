@@ -15,8 +15,10 @@ than cells is thus summed exactly, up to such ties). Bounds of all sums give bou
 and as (b - a) / max(a, b) falls with a and grows with b, of the silhouette.
 
 The leaves held and broadcast number at most about ``LEAVES`` whatever the rows. Points meet
-no other points, so they are shuffled only to spread a table of few splits over the cores. A
-task handles its points in strips whose pairs of point and box are bounded.
+no other points, so they are shuffled only to spread a table of few splits over the cores.
+Rows are sorted by place within their task, and those of a cell walk together: boxes that all
+of them open, or none, are told from the box around the rows; the rest are met row by row. What
+a row meets is what it would meet alone. A task holds a batch and a bounded number of pairs.
 
 Defined results: rows with a null label take no part; a null or NaN feature is an error;
 the only point of its cluster scores 0, and so does a point with a = b = 0; repeated rows
@@ -322,9 +324,8 @@ def _scored(labelled: DataFrame, tolerance: float, keep: list[str]):
         T.StructField("boxes", T.LongType()),
     ])
     cores = spark.sparkContext.defaultParallelism
-    wanted = max(
-        min(cores, -(-counts[1] // TASK_ROWS)), min(8 * cores, -(-counts[1] // DENSE_ROWS))
-    )
+    rounds = min(8, -(-counts[1] // (cores * DENSE_ROWS)))
+    wanted = min(cores * rounds, -(-counts[1] // TASK_ROWS))
     if flat.rdd.getNumPartitions() < wanted:
         flat = flat.repartition(wanted)
     placed = with_place(flat.select(*[f.name for f in kept], *names), names, cuts, "_leaf")
