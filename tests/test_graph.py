@@ -230,3 +230,54 @@ def test_spanning_pairs_keep_the_components(spark, monkeypatch, crowded):
     pairs, few = eps_neighbors(points, 0.03), eps_neighbors(points, 0.03, spanning=True)
     assert labels(few) == labels(pairs)
     assert few.count() < 5 * len(rows) < pairs.count()
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of a collected frame wrote."""
+    df.collect()
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        metrics = node.metrics()
+        own = metrics.apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+        below = node.children()
+        return own + sum(walk(below.apply(i)) for i in range(below.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_neighbours_shuffle_a_point_about_once(spark):
+    """Each point went to the nine cells around it and to its own, ten rows a point."""
+    points = spark.range(5_000).selectExpr(
+        "id", "array(CAST(id % 71 AS DOUBLE) / 71, CAST(id % 97 AS DOUBLE) / 97) AS features"
+    )
+    found = eps_neighbors(points, 0.02)
+    assert 5_000 <= shuffled_rows(found) <= 3 * 5_000
+
+
+@pytest.mark.parametrize("budget", [50, 20_000, 10**6])
+@pytest.mark.parametrize("bits", [62, 5])
+def test_neighbours_with_repeated_and_null_ids(spark, monkeypatch, budget, bits):
+    """Each row is a point of its own; crowded cells, long lines of cells, few places."""
+    from pointcluster.plans import eps_pairs
+
+    monkeypatch.setattr(eps_pairs, "KEY_BITS", bits)
+    monkeypatch.setattr(eps_pairs, "DENSE", 100)
+    monkeypatch.setattr(eps_pairs, "BLOCK", 30)
+    x = np.random.default_rng(9).random((300, 2))
+    x[:150] = x[:150] * 0.04 + 0.5
+    rows = [(i, [float(a), float(b)]) for i, (a, b) in enumerate(x)]
+    rows += rows[:40] + [(None, [0.5, 0.51]), (None, [0.5, 0.51]), (None, [0.0, 1.0]), (7, [0.52, 0.5])]
+    points = spark.createDataFrame(rows, "id long, features array<double>").repartition(3)
+    want = sorted(
+        (str(i), str(j), (a - c) * (a - c) + (b - d) * (b - d))
+        for i, (a, b) in rows
+        for j, (c, d) in rows
+        if (a - c) * (a - c) + (b - d) * (b - d) <= 0.03 * 0.03
+    )
+    got = eps_neighbors(points, 0.03, pairs_per_task=budget).collect()
+    assert sorted((str(r[0]), str(r[1]), r[2]) for r in got) == want
